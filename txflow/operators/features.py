@@ -17,6 +17,19 @@ from txflow.schemas import (
     WEEKEND_DAYS,
 )
 
+FEATURE_NAMES = [
+    "is_weekend",
+    "is_peak_hour",
+    "time_of_day",
+    "price_tier",
+    "is_high_value",
+    "bulk_purchase",
+    "amount_per_item",
+    "log_total",
+    "is_late_night",
+    "high_risk_flag",
+]
+
 
 def _bucket(value: Column, upper_bounds: list[tuple[int, str]], last: str) -> Column:
     """Label of the first bound that ``value`` is below."""

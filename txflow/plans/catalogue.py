@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txflow.functions.timing import micros_to_seconds
 from txflow.operators import cleaning, delivery, summaries, windows
-from txflow.operators.features import engineer_features, features
+from txflow.operators.features import FEATURE_NAMES, engineer_features
 from txflow.plans.batch import run_batch
 from txflow.plans.replay import write_window_reports
 from txflow.schemas import RECORDED_EVENT_SCHEMA
@@ -146,7 +146,7 @@ def clean_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- features and summaries --------------------------------------------------
 
 
-def _shown(name: str) -> F.Column:
+def _shown(name: str) -> Column:
     """``log_total`` to six digits: engines differ in the last bit of a logarithm."""
     return F.round(name, 6).alias(name) if name == "log_total" else F.col(name)
 
@@ -368,7 +368,7 @@ def catalogue() -> dict[str, Query]:
         "clean_day": "day_of_week",
     }.items():
         queries[key] = _rule_query(rule)
-    for name in features():
+    for name in FEATURE_NAMES:
         queries[f"feature_{name}"] = _feature_query(name)
     for name in summaries.SUMMARIES:
         queries[name] = _summary_query(name)

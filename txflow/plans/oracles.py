@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from txflow.operators.features import features
+from txflow.operators.features import FEATURE_NAMES
 
 _TX = """
 tx as (
@@ -271,7 +271,7 @@ def oracles() -> dict[str, str]:
     }
     for key, rule in _FIRST_RULES.items():
         sql[key] = f"{tx} where {rule}"
-    for name in features():
+    for name in FEATURE_NAMES:
         sql[f"feature_{name}"] = f"with {_FT} select transaction_id, user_id, {name} from ft"
     for name, select in _SUMMARIES.items():
         sql[name] = f"with {_FT} {select}"

@@ -36,8 +36,10 @@ def drop_replays(events: DataFrame) -> DataFrame:
 
 
 def drop_replays_in_stream(events: DataFrame, within: str = "1 hour") -> DataFrame:
-    """The same for a stream with a ``arrival_ts`` column; remembers ids for ``within``."""
-    return events.withWatermark("arrival_ts", within).dropDuplicatesWithinWatermark(["event_id"])
+    """The same for a stream with an ``arrival_ts`` column; remembers ids for ``within``."""
+    timed = events.withWatermark("arrival_ts", within)
+    identified = timed.filter(F.col("event_id").isNotNull()).dropDuplicatesWithinWatermark(["event_id"])
+    return identified.unionByName(timed.filter(F.col("event_id").isNull()))
 
 
 def arrival_rate(events: DataFrame, seconds: float = REPORT_SECONDS) -> DataFrame:

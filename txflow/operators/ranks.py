@@ -65,11 +65,11 @@ def exact_percentiles(
 ) -> DataFrame:
     """Per key, the value at 0-based position ``min(floor(p * n), n - 1)`` for each rank.
 
-    ``value`` is a long without nulls.  ``weight`` says how often a row counts, for input
-    that is already counted.
+    ``value`` is a long without nulls.  Input that is already counted, one row per key and
+    value, names its count in ``weight``.
     """
-    times = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    counted = df.groupBy(*keys, value).agg(times.alias("n")).withColumn("block", block_of(value, bits))
+    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n")) if weight is None else df
+    counted = counted.select(*keys, value, F.col(weight or "n").alias("n"), block_of(value, bits).alias("block"))
 
     def position(rank: float) -> Column:
         return F.least(F.floor(F.lit(rank) * F.col("key_weight")), F.col("key_weight") - 1)

@@ -84,6 +84,12 @@ def _event_id() -> Column:
     return F.coalesce("event_id", F.lit(NO_EVENT_ID))
 
 
+def _frequency() -> Column:
+    """Orders counted labels.  First arrival and lowest id are two plain longs, not a pair:
+    a struct would turn the hash aggregate below into a sort of all events."""
+    return F.struct("events", -F.col("first_us"), -F.col("first_id"))
+
+
 def _label(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(UNKNOWN))
 
@@ -121,7 +127,8 @@ def spread_cells(stamped: DataFrame, keys: list[str]) -> DataFrame:
         *aliased_parts(split_amount(amount), "total"),
         F.coalesce(F.col("is_fraud"), F.lit(False)).cast("long").alias("fraud"),
         F.col("is_late").cast("long").alias("late"),
-        F.struct("arrival_us", _event_id().alias("event_id")).alias("seen"),
+        F.col("arrival_us").alias("seen_us"),
+        _event_id().alias("seen_id"),
     )
     rest = [c for c in measured.columns if c not in (*keys, "cells")]
     return measured.select(*keys, F.inline("cells"), *rest)
@@ -133,7 +140,8 @@ def cell_measures() -> list[Column]:
         *aliased_parts(sum_parts(parts_of("total")), "total"),
         F.sum("fraud").alias("fraud"),
         F.sum("late").alias("late"),
-        F.min("seen").alias("first_seen"),
+        F.min("seen_us").alias("first_us"),
+        F.min("seen_id").alias("first_id"),
     ]
 
 
@@ -144,12 +152,12 @@ def window_cells(stamped: DataFrame, keys: list[str] = ["window_id"]) -> DataFra
 def cell_totals(cells: DataFrame, size: float) -> DataFrame:
     """Per window: counts, revenue, fraud, lateness, top region and top category.
 
-    Of equally frequent labels the one seen first wins.
+    Of equally frequent labels the one that arrived first wins, then the one with the
+    lowest event id.
     """
 
     def top(kind: str) -> Column:
-        rank = F.struct("events", -F.col("first_seen.arrival_us"), -F.col("first_seen.event_id"))
-        return F.max_by("label", F.when(F.col("kind") == kind, rank))
+        return F.max_by("label", F.when(F.col("kind") == kind, _frequency()))
 
     once = F.col("kind") == "region"
     sums = sum_parts({part: F.when(once, column) for part, column in parts_of("total").items()})
@@ -250,15 +258,15 @@ def window_latency_percentiles(stamped: DataFrame) -> DataFrame:
 
 def window_top(stamped: DataFrame, column: str, alias: str) -> DataFrame:
     """Per window, the most frequent value of ``column``; of equals, the one seen first."""
-    rank = F.struct("events", -F.col("first_seen.arrival_us"), -F.col("first_seen.event_id"))
     return (
         stamped.groupBy("window_id", _label(column).alias("label"))
         .agg(
             F.count(F.lit(1)).alias("events"),
-            F.min(F.struct("arrival_us", _event_id().alias("event_id"))).alias("first_seen"),
+            F.min("arrival_us").alias("first_us"),
+            F.min(_event_id()).alias("first_id"),
         )
         .groupBy("window_id")
-        .agg(F.max_by("label", rank).alias(alias))
+        .agg(F.max_by("label", _frequency()).alias(alias))
     )
 
 
@@ -288,7 +296,8 @@ def overall_from_cells(cells: DataFrame, size: float) -> DataFrame:
     counts = per_window.agg(
         F.coalesce(F.sum("events"), F.lit(0)).alias("total_events"), F.count(F.lit(1)).alias("total_windows")
     )
-    latencies = cells.filter(F.col("kind") == "latency").select("latency_us", "events")
+    by_latency = cells.filter(F.col("kind") == "latency").groupBy("latency_us")
+    latencies = by_latency.agg(F.sum("events").alias("events"))
     return _overall(counts, latencies, size, "events")
 
 

@@ -134,7 +134,7 @@ def _top(column: str, alias: str) -> str:
     return f"""select window_id, label as {alias} from (
   select window_id, label, row_number() over (partition by window_id order by n desc, a, e) as r from (
     select window_id, coalesce({column}, 'Unknown') as label, count(*) as n, min(arrival_us) as a,
-           min_by(event_id, (arrival_us, event_id)) as e from st group by all)) where r = 1"""
+           min(event_id) as e from st group by all)) where r = 1"""
 
 
 def _window_stats(size: int, **stamp: bool) -> str:

@@ -93,12 +93,10 @@ def stream_events(
 def with_clock(events: DataFrame) -> DataFrame:
     """Replace ``timestamp`` and ``arrival`` by ``event_us`` and ``arrival_us``.
 
-    A live stream has no ``arrival``: it is the time of the micro-batch then.
+    A live stream has no ``arrival``: it is the time of the micro-batch then.  A recorded
+    event without one arrived when it happened.
     """
-    if "arrival" in events.columns:
-        arrival = seconds_to_micros(F.col("arrival"))
-    else:
-        arrival = F.unix_micros(F.current_timestamp())
-    return events.withColumns(
-        {"event_us": seconds_to_micros(F.col("timestamp")), "arrival_us": arrival}
-    ).drop("timestamp", "arrival")
+    event, now = seconds_to_micros(F.col("timestamp")), F.unix_micros(F.current_timestamp())
+    recorded = "arrival" in events.columns
+    arrival = F.coalesce(seconds_to_micros(F.col("arrival")), event, now) if recorded else now
+    return events.withColumns({"event_us": event, "arrival_us": arrival}).drop("timestamp", "arrival")

@@ -11,10 +11,11 @@ leaves no duplicates.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from txflow.functions.money import money_sum
 from txflow.functions.timing import size_micros, window_index
 from txflow.operators.windows import (
     CELL_KEY,
@@ -29,12 +30,12 @@ from txflow.operators.windows import (
 CELL_SCHEMA = (
     "window_id bigint, kind string, label string, latency_us bigint, events bigint, "
     "total_whole bigint, total_millionths bigint, total_odd double, fraud bigint, late bigint, "
-    "first_seen struct<arrival_us:bigint,event_id:bigint>"
+    "first_us bigint, first_id bigint"
 )
 # The state of the measures, in their order; the state reader names several fields "sum".
 _STATE = (
     "struct<events:bigint,total_whole:bigint,total_millionths:bigint,total_odd:double,fraud:bigint,late:bigint,"
-    "first_seen:struct<arrival_us:bigint,event_id:bigint>>"
+    "first_us:bigint,first_id:bigint>"
 )
 _MEASURES = [
     "events",
@@ -43,7 +44,8 @@ _MEASURES = [
     "total_odd",
     "fraud",
     "late",
-    "first_seen",
+    "first_us",
+    "first_id",
 ]
 
 
@@ -59,7 +61,7 @@ def arrival_cells(events: DataFrame, size: float, delay: str = "0 seconds") -> D
     return spread_cells(stamped, ["arrival_ts"]).groupBy(window.alias("window"), *CELL_KEY).agg(*cell_measures())
 
 
-def _window_id(size: float):
+def _window_id(size: float) -> Column:
     return window_index(F.unix_micros("window.start"), size).alias("window_id")
 
 
@@ -97,7 +99,7 @@ def run(
 ) -> None:
     """Run for ``duration`` seconds, or until all input there is has been read."""
     query = start(events, output_path, checkpoint, size, delay, None if duration is None else poll)
-    query.awaitTermination(duration) if duration is not None else query.awaitTermination()
+    query.awaitTermination(duration)
     query.stop()
 
 
@@ -148,8 +150,6 @@ def read_cells(spark: SparkSession, output_path: str) -> DataFrame:
 def event_time_totals(events: DataFrame, size: float, grace: str = "2 seconds") -> DataFrame:
     """Count and revenue by the events' own windows; a window closes ``grace`` after the
     latest event time seen, and what comes later is discarded."""
-    from txflow.functions.money import money_sum
-
     window = F.window("event_ts", f"{size_micros(size)} microseconds")
     return (
         events.withColumn("event_ts", F.timestamp_micros(own_time()))

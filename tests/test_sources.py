@@ -1,0 +1,149 @@
+import pytest
+from pyspark.sql import functions as F
+
+from txflow.functions.timing import ntz_micros, seconds_to_micros
+from txflow.schemas import PAYMENT_METHODS, PRODUCT_CATEGORIES, RECORDED_EVENT_SCHEMA, REGIONS
+from txflow.sources.events import line_quality, mark_corrupt, parse_events, scan_events, scan_lines, with_clock
+from txflow.sources.synthetic import synthesize_range
+from txflow.sources.transactions import count_while_running, scan_transactions
+
+VALID = [
+    '{"event_id":1,"timestamp":1700000000.5,"region":"N","total":2.5,"is_fraud":true}',
+    '  {"event_id":2}  ',
+    "{}",
+    '{"event_id":3,"total":null}',
+    '{"event_id":4,"more":{"a":[1,{"b":2}]}}',
+    '{"event_id":5,"region":"a \\"quoted\\" } name"}',
+]
+CORRUPT = [
+    "5",
+    '"text"',
+    "null",
+    "[1,2]",
+    '[{"event_id":1}]',
+    '{"event_id":1,"tot',
+    '{"event_id":"x"}',
+    '{"event_id":1,"total":"a lot"}',
+    '{"event_id":1,"is_fraud":1}',
+    '{"event_id":1} trailing',
+    '{"event_id":1}{"event_id":2}',
+    '{"event_id":1},{"event_id":2}',
+    '{"event_id":1}}',
+    "{'event_id':1}",
+    "not json",
+]
+BLANK = ["", "   ", "\t"]
+
+
+@pytest.fixture(scope="module")
+def lines_path(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("lines")
+    (folder / "a.jsonl").write_text("\n".join(VALID + BLANK + CORRUPT) + "\n")
+    return str(folder)
+
+
+def test_valid_and_corrupt_lines(spark, lines_path):
+    marked = mark_corrupt(scan_lines(spark, lines_path)).collect()
+    assert sorted(r.line for r in marked if r.is_corrupt) == sorted(CORRUPT)
+    assert sorted(r.line for r in marked if not r.is_corrupt) == sorted(VALID)
+
+
+def test_quality_counts(spark, lines_path):
+    row = line_quality(scan_lines(spark, lines_path)).first()
+    assert (row.lines, row.corrupt_lines) == (len(VALID) + len(CORRUPT), len(CORRUPT))
+    assert row.error_rate == len(CORRUPT) / (len(VALID) + len(CORRUPT))
+
+
+def test_validity_does_not_depend_on_the_selected_columns(spark, lines_path):
+    events = scan_events(spark, lines_path)
+    for column in events.columns:
+        assert len(events.select(column).collect()) == len(VALID)
+    assert events.count() == len(VALID)
+
+
+def test_values(spark, lines_path):
+    rows = {r.event_id: r for r in scan_events(spark, lines_path).collect()}
+    assert rows[1].asDict() | {} == {
+        "event_id": 1,
+        "timestamp": 1700000000.5,
+        "user_id": None,
+        "product_category": None,
+        "region": "N",
+        "amount": None,
+        "quantity": None,
+        "total": 2.5,
+        "payment_method": None,
+        "is_fraud": True,
+    }
+    assert rows[5].region == 'a "quoted" } name'
+
+
+def test_clock(spark):
+    lines = spark.createDataFrame(
+        [('{"event_id":1,"timestamp":1.5,"arrival":2.000001}',), ('{"event_id":2,"timestamp":1.5}',), ('{"event_id":3}',)],
+        "value string",
+    )
+    rows = with_clock(parse_events(lines, RECORDED_EVENT_SCHEMA)).orderBy("event_id").collect()
+    assert [(r.event_us, r.arrival_us) for r in rows[:2]] == [(1_500_000, 2_000_001), (1_500_000, 1_500_000)]
+    assert rows[2].event_us is None and rows[2].arrival_us > 1_500_000_000_000_000
+    live = with_clock(parse_events(lines)).select("arrival_us").distinct().collect()
+    assert len(live) == 1
+
+
+def test_seconds_keep_every_microsecond(spark):
+    micros = [1_700_000_000_000_000 + i * 7919 for i in range(2000)]
+    df = spark.createDataFrame([(m / 1e6, m) for m in micros], "s double, m long")
+    assert df.filter(seconds_to_micros(F.col("s")) != F.col("m")).count() == 0
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (None,)], "s double")
+    assert [r[0] for r in odd.select(seconds_to_micros(F.col("s"))).collect()] == [None, None, None]
+
+
+def test_ntz_micros_ignore_the_session_zone(spark):
+    # 02:30 on that day does not exist in New York, the zone of the test session.
+    df = spark.sql("select timestamp_ntz'2024-03-10 02:30:00.000001' as t union all select timestamp_ntz'1969-12-31 23:59:59.5'")
+    assert sorted(r[0] for r in df.select(ntz_micros(F.col("t"))).collect()) == [-500_000, 1_710_037_800_000_001]
+
+
+def test_csv_is_permissive_and_bound_by_position(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        "a,b,c,d,e,f,g,h,i,j,k\n"
+        "3000000000,2,Food,North,1.5,3,4.5,Cash,6,23,True\n"
+        "abc,2,,,x,3.5,NaN,Cash,6,23,False\n"
+    )
+    big, bad = scan_transactions(spark, str(tmp_path)).orderBy(F.desc_nulls_last("transaction_id")).collect()
+    assert tuple(big) == (3_000_000_000, 2, "Food", "North", 1.5, 3, 4.5, "Cash", 6, 23, "True")
+    assert (bad.transaction_id, bad.product_category, bad.region, bad.amount, bad.quantity) == (None,) * 5
+    assert bad.total != bad.total
+
+
+def test_counting_rides_on_the_write(spark, tmp_path):
+    rows, seen = count_while_running(spark.range(1234), "rows")
+    rows.write.parquet(str(tmp_path / "out"))
+    assert seen.get["rows"] == 1234
+
+
+def test_synthetic_rows_do_not_depend_on_partitioning(spark):
+    rows = synthesize_range(spark, 3000)
+    again = synthesize_range(spark, 3000).repartition(16)
+    assert rows.exceptAll(again).count() == 0
+    assert rows.exceptAll(synthesize_range(spark, 3000, seed=7)).count() > 2900
+    # Any part can be made again on its own.
+    assert rows.filter("transaction_id < 50").exceptAll(synthesize_range(spark, 50)).count() == 0
+
+
+def test_synthetic_domains(spark):
+    df = synthesize_range(spark, 20_000)
+    low, high, q1, q2, u1, u2, fraud = df.agg(
+        F.min("amount"), F.max("amount"), F.min("quantity"), F.max("quantity"), F.min("user_id"), F.max("user_id"),
+        F.avg((F.col("is_fraud") == "True").cast("int")),
+    ).first()
+    assert 1.0 <= low < 2 and 998 < high <= 999.99
+    assert (q1, q2) == (1, 20)
+    assert 1 <= u1 and u2 <= 100_000
+    assert 0.015 < fraud < 0.025
+    for column, values in {"product_category": PRODUCT_CATEGORIES, "region": REGIONS, "payment_method": PAYMENT_METHODS,
+                           "day_of_week": range(7), "hour_of_day": range(24)}.items():
+        counts = {r[0]: r[1] for r in df.groupBy(column).count().collect()}
+        assert set(counts) == set(values)
+        assert min(counts.values()) > 0.8 * 20_000 / len(counts)
+    assert df.filter(F.abs(F.col("amount") * F.col("quantity") - F.col("total")) > 0.005).count() == 0

@@ -1,0 +1,189 @@
+"""Streams over files: several runs on one checkpoint give what one batch gives."""
+
+import json
+import threading
+import time
+
+import pytest
+
+from tests.compare import spark_rows
+from tests.test_windows import SCHEMA, SIZE, random_stream
+from txflow.operators import windows as W
+from txflow.operators.delivery import drop_replays_in_stream
+from txflow.schemas import RECORDED_EVENT_SCHEMA
+from txflow.sources.events import mark_corrupt, stream_events, stream_lines, with_clock
+from txflow.streaming import windows as S
+
+NAMES = ["event_id", "event_us", "arrival_us", "region", "product_category", "total", "is_fraud"]
+
+
+def as_line(row):
+    event = {k: v for k, v in zip(NAMES, row) if v is not None}
+    event["arrival"] = event.pop("arrival_us") / 1e6
+    if "event_us" in event:
+        event["timestamp"] = event.pop("event_us") / 1e6
+    return json.dumps(event)
+
+
+class Feed:
+    """A folder that grows by whole files."""
+
+    def __init__(self, folder):
+        self.path = folder / "in"
+        self.path.mkdir()
+        self.files = 0
+
+    def add(self, lines):
+        hidden = self.path / f".{self.files}.tmp"
+        hidden.write_text("\n".join(lines) + "\n")
+        hidden.rename(self.path / f"{self.files:04d}.jsonl")
+        self.files += 1
+
+
+@pytest.fixture
+def feed(tmp_path):
+    return Feed(tmp_path)
+
+
+@pytest.fixture
+def dirs(tmp_path):
+    return str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+
+def recorded(spark, feed, files_per_batch=None):
+    return with_clock(stream_events(spark, str(feed.path), RECORDED_EVENT_SCHEMA, files_per_batch))
+
+
+def in_batch(spark, rows):
+    stamped = W.stamp_events(spark.createDataFrame(rows, SCHEMA), SIZE, replay=False)
+    return spark_rows(W.window_stats(stamped, SIZE))
+
+
+def test_runs_on_one_checkpoint_equal_the_batch(spark, feed, dirs):
+    out, checkpoint = dirs
+    rows = random_stream(21, 150)
+    for i, cut in enumerate(range(0, 150, 50)):
+        feed.add([as_line(r) for r in rows[cut : cut + 50]] + ["not json", ""])
+        S.run(recorded(spark, feed), out, checkpoint, SIZE)
+        if i == 1:
+            S.run(recorded(spark, feed), out, checkpoint, SIZE)  # nothing new: nothing reported twice
+
+    columns, expected = in_batch(spark, rows)
+    got_columns, closed = spark_rows(S.read_results(spark, out))
+    assert got_columns == columns
+    assert closed == [r for r in expected if r[columns.index("window_id")] != rows[-1][2] // 5_000_000]
+
+    S.flush(spark, out, checkpoint, SIZE)
+    assert spark_rows(S.read_results(spark, out, flushed=True)) == (columns, expected)
+
+    # The stream goes on after the flush: its own, later report of the window wins.
+    more = [(900 + i, None, rows[-1][2] + i * 4_000_000, "N", "Food", 1.0, False) for i in range(5)]
+    feed.add([as_line(r) for r in more])
+    S.run(recorded(spark, feed), out, checkpoint, SIZE)
+    S.flush(spark, out, checkpoint, SIZE)
+    assert spark_rows(S.read_results(spark, out, flushed=True)) == in_batch(spark, rows + more)
+
+
+def test_many_small_batches_equal_one(spark, feed, dirs):
+    out, checkpoint = dirs
+    rows = random_stream(22, 60)
+    for cut in range(0, 60, 10):
+        feed.add([as_line(r) for r in rows[cut : cut + 10]])
+        time.sleep(0.05)  # files are taken in the order of their times
+    S.run(recorded(spark, feed, files_per_batch=1), out, checkpoint, SIZE)
+    S.flush(spark, out, checkpoint, SIZE)
+    assert spark_rows(S.read_results(spark, out, flushed=True)) == in_batch(spark, rows)
+
+
+def test_a_failed_batch_runs_again_without_duplicates(spark, feed, dirs, monkeypatch):
+    out, checkpoint = dirs
+    rows = random_stream(23, 80)
+    feed.add([as_line(r) for r in rows])
+    finish = S.finish_windows
+
+    def fails_late(cells, size):
+        # The batch's cells are stored already; its results are half there.
+        finish(cells, size).limit(3).write.mode("overwrite").json(f"{out}/results/batch_id=1")
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(S, "finish_windows", fails_late)
+    with pytest.raises(Exception, match="lost"):
+        S.run(recorded(spark, feed), out, checkpoint, SIZE)
+    monkeypatch.setattr(S, "finish_windows", finish)
+    S.run(recorded(spark, feed), out, checkpoint, SIZE)
+    S.flush(spark, out, checkpoint, SIZE)
+    assert spark_rows(S.read_results(spark, out, flushed=True)) == in_batch(spark, rows)
+
+
+def test_overall_statistics_from_stored_cells(spark, feed, dirs):
+    out, checkpoint = dirs
+    rows = random_stream(24, 80)
+    feed.add([as_line(r) for r in rows])
+    S.run(recorded(spark, feed), out, checkpoint, SIZE)
+    closed = [r for r in rows if r[2] // 5_000_000 != rows[-1][2] // 5_000_000]
+    stamped = W.stamp_events(spark.createDataFrame(closed, SCHEMA), SIZE, replay=False)
+    overall = W.overall_from_cells(S.read_cells(spark, out), SIZE)
+    assert spark_rows(overall) == spark_rows(W.overall_stats(stamped, SIZE))
+
+
+def test_live_run_stops_after_its_duration(spark, feed, dirs):
+    out, checkpoint = dirs
+    feed.add([json.dumps({"event_id": i, "timestamp": time.time(), "total": 1.0}) for i in range(20)])
+
+    def produce():
+        for i in range(4):
+            time.sleep(1.5)
+            feed.add([json.dumps({"event_id": 100 + i, "timestamp": time.time(), "total": 1.0})])
+
+    producer = threading.Thread(target=produce)
+    producer.start()
+    begun = time.monotonic()
+    live = with_clock(stream_events(spark, str(feed.path)))
+    S.run(live, out, checkpoint, 1.0, duration=15)
+    producer.join()
+    assert 14 < time.monotonic() - begun < 60
+    S.flush(spark, out, checkpoint, 1.0)
+    rows = S.read_results(spark, out, flushed=True).collect()
+    assert sum(r.event_count for r in rows) == 24
+    assert sum(r.total_revenue for r in rows) == 24.0
+    assert len({r.window_id for r in rows}) == len(rows) > 1
+
+
+def test_event_time_stream_discards_stragglers(spark, feed, dirs):
+    out, checkpoint = dirs
+
+    def event(event_id, seconds):
+        return json.dumps({"event_id": event_id, "timestamp": seconds, "arrival": seconds, "total": 1.5})
+
+    for batch in (
+        [event(1, 1000.0), event(2, 1004.0)],
+        [event(3, 1007.5)],  # watermark 1005.5: window 1000-1005 closes
+        [event(4, 1003.0), event(5, 1006.0), event(6, 1020.0)],  # the first is too late
+    ):
+        feed.add(batch)
+        S.append_to(S.event_time_totals(recorded(spark, feed), SIZE), out, checkpoint)
+    rows = spark.read.parquet(out).orderBy("window_id").collect()
+    assert [(r.window_id, r.event_count, r.total_revenue) for r in rows] == [(200, 2, 3.0), (201, 2, 3.0)]
+
+
+def test_replays_in_a_stream(spark, feed, dirs):
+    out, checkpoint = dirs
+    for batch in ([1, 2, None], [2, 3, None], [1, 3, 4]):
+        feed.add([json.dumps({"timestamp": 5.0, "arrival": 5.0} | ({} if i is None else {"event_id": i})) for i in batch])
+        S.append_to(drop_replays_in_stream(S.with_arrival_ts(recorded(spark, feed))), out, checkpoint)
+    ids = [r.event_id for r in spark.read.parquet(out).collect()]
+    assert sorted(i for i in ids if i is not None) == [1, 2, 3, 4]
+    assert ids.count(None) == 2
+
+
+def test_late_events_and_corrupt_lines_go_to_their_own_tables(spark, feed, tmp_path):
+    rows = random_stream(25, 40)
+    feed.add([as_line(r) for r in rows] + ["{broken"])
+    late = W.late_events(W.stamp_events(recorded(spark, feed), SIZE, replay=False))
+    S.append_to(late.select("event_id"), str(tmp_path / "late"), str(tmp_path / "c1"))
+    expected = sorted(r[0] for r in rows if r[1] is not None and r[1] // 5_000_000 < r[2] // 5_000_000)
+    assert expected and sorted(r[0] for r in spark.read.parquet(str(tmp_path / "late")).collect()) == expected
+
+    corrupt = mark_corrupt(stream_lines(spark, str(feed.path))).filter("is_corrupt")
+    S.append_to(corrupt, str(tmp_path / "corrupt"), str(tmp_path / "c2"))
+    assert [r.line for r in spark.read.parquet(str(tmp_path / "corrupt")).collect()] == ["{broken"]

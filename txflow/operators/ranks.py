@@ -21,6 +21,13 @@ def block_of(value: str, bits: int = BLOCK_BITS) -> Column:
     return F.shiftright(F.col(value), bits)
 
 
+def _not_null(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """State that join columns are never null.  Otherwise Spark filters nulls out of one
+    side of the self-join only, takes the sides for different plans and computes both."""
+    types = rows.schema
+    return rows.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(types[c].dataType)) for c in columns})
+
+
 def block_totals(rows: DataFrame, keys: list[str], weight: str) -> DataFrame:
     """Per key and block: the block's weight, the weight before it and the key's weight."""
     ordered = Window.partitionBy(*_by(keys)).orderBy("block")
@@ -47,8 +54,8 @@ def running_within_blocks(rows: DataFrame, totals: DataFrame, keys: list[str], o
 
 
 def running_total(rows: DataFrame, order: str, weight: str, bits: int = BLOCK_BITS) -> DataFrame:
-    """``rows`` (one per ``order`` value) with ``running``, over the whole table."""
-    blocked = rows.withColumn("block", block_of(order, bits))
+    """``rows`` (one per ``order`` value, none null) with ``running``, over the whole table."""
+    blocked = _not_null(rows, [order]).withColumn("block", block_of(order, bits))
     totals = block_totals(blocked, [], weight)
     return running_within_blocks(blocked, totals, [], order, weight).drop(
         "block", "block_weight", "before", "key_weight"
@@ -65,10 +72,11 @@ def exact_percentiles(
 ) -> DataFrame:
     """Per key, the value at 0-based position ``min(floor(p * n), n - 1)`` for each rank.
 
-    ``value`` is a long without nulls.  Input that is already counted, one row per key and
+    ``value`` is a long; it and the keys hold no nulls.  Input that is already counted, one row per key and
     value, names its count in ``weight``.
     """
-    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n")) if weight is None else df
+    known = _not_null(df, [*keys, value])
+    counted = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n")) if weight is None else known
     counted = counted.select(*keys, value, F.col(weight or "n").alias("n"), block_of(value, bits).alias("block"))
 
     def position(rank: float) -> Column:

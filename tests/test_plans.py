@@ -1,0 +1,116 @@
+"""What Spark makes of the queries: pushdown, shuffles, skew."""
+
+import re
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_points
+from tests.compare import spark_rows
+from txflow.operators import windows as W
+from txflow.operators.cleaning import clean_transactions
+from txflow.operators.features import engineer_features
+from txflow.operators.summaries import category_stats, region_stats
+from txflow.sources import star
+from txflow.sources.transactions import scan_transactions
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan_of(df, final=False):
+    if final:
+        df.collect()
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+def test_no_cross_join_and_no_python(spark, name):
+    plan = plan_of(entry_points.queries()[name](spark, SF_DIR))
+    assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|Python|MapInPandas|LocalTableScan", plan)
+
+
+def test_sources_hold_no_collect_and_no_udf():
+    root = Path(__file__).resolve().parent.parent / "txflow"
+    for path in root.rglob("*.py"):
+        text = path.read_text()
+        for word in (".collect(", ".toPandas(", "udf(", ".rdd", "localCheckpoint", "crossJoin", "broadcast(", "coalesce(1)"):
+            if word == "coalesce(1)" and path.name == "tables.py":
+                continue  # the one-row metrics object
+            assert word not in text, f"{word} in {path}"
+
+
+def test_cleaning_reaches_the_scan_and_unused_columns_do_not(spark, tmp_path):
+    star.transactions(spark, SF_DIR).write.parquet(str(tmp_path / "t"))
+    df = region_stats(engineer_features(clean_transactions(spark.read.parquet(str(tmp_path / "t")))))
+    plan = plan_of(df)
+    assert "GreaterThan(amount,0.0)" in plan and "LessThanOrEqual(hour_of_day,23)" in plan
+    assert "payment_method" not in re.search(r"ReadSchema: (.*)", plan).group(1)
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "partial_sum" in plan
+
+
+def test_csv_scan_has_no_shuffle_unless_asked_for(spark, tmp_path):
+    star.transactions(spark, SF_DIR).write.csv(str(tmp_path / "t"), header=True)
+    assert "Exchange" not in plan_of(engineer_features(clean_transactions(scan_transactions(spark, str(tmp_path / "t")))))
+    assert "RoundRobinPartitioning(5)" in plan_of(scan_transactions(spark, str(tmp_path / "t"), partitions=5))
+
+
+def test_buyers_are_counted_by_user_and_category_before_the_category(spark):
+    plan = plan_of(category_stats(engineer_features(clean_transactions(star.transactions(spark, SF_DIR)))))
+    assert re.search(r"Exchange hashpartitioning\(user_id#\d+L, product_category#\d+", plan)
+
+
+def test_percentiles_scan_and_shuffle_the_events_once(spark, tmp_path):
+    star.timed_events(spark, SF_DIR).write.parquet(str(tmp_path / "e"))
+    events = spark.read.parquet(str(tmp_path / "e"))
+    stamped = W.stamp_events(events, 3600.0, replay=False)
+    plan = plan_of(W.window_latency_percentiles(stamped), final=True)
+    final = plan[: plan.index("Initial Plan")]
+    assert final.count("Scan parquet") == 1
+    assert "ReusedExchange" in final or "ShuffleQueryStage" in final
+    # Ranking reads two columns, not the events' other fields.
+    assert re.search(r"ReadSchema: struct<event_us:bigint,arrival_us:bigint>", final)
+
+
+def test_window_aggregates_hash_instead_of_sorting_events(spark):
+    stamped = W.stamp_events(star.timed_events(spark, SF_DIR), 3600.0, replay=False)
+    cells = plan_of(W.window_cells(stamped))
+    assert "HashAggregate" in cells and "SortAggregate" not in cells
+
+
+def test_a_customer_with_a_third_of_all_orders_is_split(spark, tmp_path):
+    """The join on the hot key runs in several tasks and gives the same transactions."""
+    hot, n = 7, 30_000
+    for name in ("region", "nation", "customer", "part"):
+        star.table(spark, SF_DIR, name).write.parquet(str(tmp_path / f"{name}.parquet"))
+    customers = star.table(spark, SF_DIR, "customer").count()
+    spark.range(n).select(
+        F.col("id").alias("o_orderkey"),
+        F.when(F.col("id") % 3 == 0, hot).otherwise(F.col("id") % customers + 1).cast("long").alias("o_custkey"),
+        F.sha2(F.col("id").cast("string"), 512).alias("o_orderpriority"),
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    lines = star.table(spark, SF_DIR, "lineitem").withColumn("l_orderkey", F.col("l_orderkey") % n)
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    expected = spark_rows(star.transactions(spark, str(tmp_path)))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        df = star.transactions(spark, str(tmp_path))
+        rows = spark_rows(df)
+        plan = plan_of(df)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert rows == expected
+    assert "skew=true" in plan[: plan.index("Initial Plan")]

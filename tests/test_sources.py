@@ -1,9 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tests.compare import spark_rows
 from txflow.functions.timing import ntz_micros, seconds_to_micros
 from txflow.schemas import PAYMENT_METHODS, PRODUCT_CATEGORIES, RECORDED_EVENT_SCHEMA, REGIONS
-from txflow.sources.events import line_quality, mark_corrupt, parse_events, scan_events, scan_lines, with_clock
+from txflow.sources.events import line_quality, mark_corrupt, parse_events, scan_events, scan_lines, split_lines, with_clock
 from txflow.sources.synthetic import synthesize_range
 from txflow.sources.transactions import count_while_running, scan_transactions
 
@@ -48,6 +49,14 @@ def test_valid_and_corrupt_lines(spark, lines_path):
     assert sorted(r.line for r in marked if not r.is_corrupt) == sorted(VALID)
 
 
+def test_split_is_one_parse(spark, lines_path):
+    sides = split_lines(scan_lines(spark, lines_path))
+    assert sorted(r.line for r in sides.filter("is_corrupt").collect()) == sorted(CORRUPT)
+    valid = sides.filter("not is_corrupt").drop("line", "is_corrupt")
+    assert spark_rows(valid) == spark_rows(scan_events(spark, lines_path))
+    assert sides._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
 def test_quality_counts(spark, lines_path):
     row = line_quality(scan_lines(spark, lines_path)).first()
     assert (row.lines, row.corrupt_lines) == (len(VALID) + len(CORRUPT), len(CORRUPT))

@@ -15,7 +15,7 @@ from txflow.functions.timing import micros_to_seconds
 from txflow.operators import cleaning, delivery, summaries, windows
 from txflow.operators.features import FEATURE_NAMES, engineer_features
 from txflow.plans.batch import run_batch
-from txflow.plans.replay import write_window_reports
+from txflow.plans.replay import run_replay
 from txflow.schemas import RECORDED_EVENT_SCHEMA
 from txflow.sinks import tables
 from txflow.sinks.scratch import scratch_dir
@@ -96,13 +96,9 @@ def stream_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corrupt_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both sides of the split: the events, and the corrupt lines as rows without fields."""
     lines = event_source.scan_lines(spark, _jsonl(spark, star.damaged_lines(spark, sf_dir)))
-    valid = event_source.parse_events(lines, RECORDED_EVENT_SCHEMA)
-    corrupt = event_source.mark_corrupt(lines, RECORDED_EVENT_SCHEMA).filter("is_corrupt")
-    return valid.select(F.lit(False).alias("is_corrupt"), "event_id", "region", "total").unionByName(
-        corrupt.select("is_corrupt"), allowMissingColumns=True
-    )
+    sides = event_source.split_lines(lines, RECORDED_EVENT_SCHEMA)
+    return sides.select("is_corrupt", "event_id", "region", "total")
 
 
 def corrupt_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,8 +232,7 @@ def overall_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def consumer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "replay")
-    events = _recorded(spark, _jsonl(spark, star.event_lines(spark, sf_dir)))
-    write_window_reports(events, out, 5.0)
+    run_replay(spark, _jsonl(spark, star.event_lines(spark, sf_dir)), out, 5.0)
     return spark.read.json(f"{out}/consumer_metrics")
 
 

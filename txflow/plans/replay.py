@@ -2,27 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from txflow.operators.windows import finish_windows, overall_from_cells, stamp_events, window_cells
 from txflow.schemas import RECORDED_EVENT_SCHEMA
 from txflow.sources.events import scan_events, with_clock
 
 
-def write_window_reports(events: DataFrame, output_path: str, size: float) -> None:
-    """Window results and overall statistics, from one pass over the events.
+def run_replay(spark: SparkSession, input_path: str, output_path: str, size: float = 5.0) -> None:
+    """Replay JSON lines that carry their arrival time: events, window results and overall
+    statistics.
 
-    The cells of all windows are written first; both reports add those up.
+    The lines are parsed once, into a table, since the windows need two looks at the
+    events: one for the first of them.  Then the cells of all windows are stored, and
+    both reports add those up.
     """
-    spark = events.sparkSession
-    cells_path = f"{output_path}/window_cells"
-    window_cells(stamp_events(events, size)).write.mode("overwrite").parquet(cells_path)
+    events_path, cells_path = f"{output_path}/events", f"{output_path}/window_cells"
+    with_clock(scan_events(spark, input_path, RECORDED_EVENT_SCHEMA)).write.mode("overwrite").parquet(events_path)
+    window_cells(stamp_events(spark.read.parquet(events_path), size)).write.mode("overwrite").parquet(cells_path)
     cells = spark.read.parquet(cells_path)
     finish_windows(cells, size).write.mode("overwrite").json(f"{output_path}/window_results")
     overall_from_cells(cells, size).write.mode("overwrite").json(f"{output_path}/consumer_metrics")
-
-
-def run_replay(spark: SparkSession, input_path: str, output_path: str, size: float = 5.0) -> None:
-    """Replay JSON lines that carry their arrival time."""
-    events = with_clock(scan_events(spark, input_path, RECORDED_EVENT_SCHEMA))
-    write_window_reports(events, output_path, size)

@@ -68,6 +68,18 @@ def mark_corrupt(lines: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataF
     )
 
 
+def split_lines(lines: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
+    """Every raw line with ``is_corrupt`` and its fields, which a corrupt line has not.
+
+    Both sides of the split come from one parse; write it partitioned by ``is_corrupt``
+    to have them apart.
+    """
+    parsed = lines.select(F.col("value").alias("line"), _parsed(F.col("value"), schema).alias("event"))
+    return parsed.select("line", (F.size("event") == 0).alias("is_corrupt"), "event").select(
+        "line", "is_corrupt", F.inline_outer("event")
+    )
+
+
 def line_quality(lines: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
     """Number of lines, number of corrupt ones and their share."""
     return (

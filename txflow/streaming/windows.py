@@ -11,6 +11,9 @@ leaves no duplicates.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -61,6 +64,24 @@ def arrival_cells(events: DataFrame, size: float, delay: str = "0 seconds") -> D
     return spread_cells(stamped, ["arrival_ts"]).groupBy(window.alias("window"), *CELL_KEY).agg(*cell_measures())
 
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Start queries with state in RocksDB, so that open windows need not fit in executor
+    memory.  A provider set by the user stays; a restarted query keeps its own."""
+    if spark.conf.get(_PROVIDER, None) is not None:
+        yield
+        return
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_PROVIDER)
+
+
 def _window_id(size: float) -> Column:
     return window_index(F.unix_micros("window.start"), size).alias("window_id")
 
@@ -85,7 +106,8 @@ def start(
     writer = arrival_cells(events, size, delay).writeStream.outputMode("append").foreachBatch(store)
     writer = writer.option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if poll is None else {"processingTime": poll}
-    return writer.trigger(**trigger).start()
+    with _state_on_disk(events.sparkSession):
+        return writer.trigger(**trigger).start()
 
 
 def run(
@@ -166,12 +188,8 @@ def event_time_totals(events: DataFrame, size: float, grace: str = "2 seconds")
 
 def append_to(rows: DataFrame, path: str, checkpoint: str) -> None:
     """Append all there is to a Parquet table, each row exactly once over any restarts."""
-    query = (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = rows.writeStream.format("parquet").outputMode("append").option("path", path)
+    writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    with _state_on_disk(rows.sparkSession):
+        query = writer.start()
     query.awaitTermination()

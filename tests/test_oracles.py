@@ -7,10 +7,12 @@ import pytest
 
 import __spark_entry__ as entry_points
 from tests.compare import connect, duckdb_rows, kinds, spark_rows
+from txflow.plans.catalogue import catalogue
+from txflow.plans.oracles import oracles
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = catalogue()
+ORACLES = oracles()
 
 
 @pytest.fixture(scope="module")
@@ -36,5 +38,10 @@ def test_query_matches_oracle(spark, con, name):
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|Python|MapInPandas|LocalTableScan", plan)
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert ORACLES.items() <= entry_points.oracle_sql().items()
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0

@@ -7,12 +7,16 @@ windows of its own file only, and the meeting is checked word by word.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txflow.llm.common import LOWER, UPPER
+from txflow.llm.common import LOWER, UPPER, stored
 
 WINDOW = 13
+#: Windows or words of the benchmark that are broadcast at once; more go block by block.
+BLOCK = 100_000
 _SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -22,6 +26,14 @@ def words(text: Column) -> Column:
     return F.transform(F.array_remove(F.split(F.coalesce(text, F.lit("")), _SEPARATORS), ""), lowered)
 
 
+def _blocks(rows: DataFrame, key: str, name: str, most: int) -> list[DataFrame]:
+    """``rows`` written once and dealt by ``key`` into parts of about ``most`` rows, each small
+    enough to be broadcast."""
+    kept = stored(rows, name)
+    parts = max(1, -(-kept.count() // most))
+    return [kept.where(F.pmod(F.xxhash64(key), F.lit(parts)) == i) if parts > 1 else kept for i in range(parts)]
+
+
 def _windows(items: DataFrame, counts: DataFrame, size: int) -> DataFrame:
     """(anchor, offset, window, item_id): each window of each item under its rarest word.
     An item of fewer words than ``size`` is one window."""
@@ -46,13 +58,14 @@ def _windows(items: DataFrame, counts: DataFrame, size: int) -> DataFrame:
         .select(
             F.col("rarest.word").alias("anchor"),
             (F.col("rarest.pos") - F.col("start")).alias("offset"),
-            F.transform(F.slice("tokens", F.col("start") + 1, length), lambda t: t.word).alias("window"),
+            F.array_join(F.transform(F.slice("tokens", F.col("start") + 1, length), lambda t: t.word), " ").alias("window"),
+            length.alias("length"),
             "item_id",
         )
     )
 
 
-def find_benchmark(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+def find_benchmark(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block: int = BLOCK) -> DataFrame:
     """For each document the benchmark items that occur in it and the words they cover.
 
     Returns doc_id, text_hash (xxhash64 of the text), n_words, n_hit (words inside any
@@ -64,9 +77,10 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     give one row; items of one id count together; null ids are ids like others. Items without
     words occur nowhere; without items nothing is hit; no documents give no rows.
 
-    Rarity is counted over all documents, only for words of the benchmark. Spark broadcasts
-    the filed windows if they are small and sorts and merges otherwise. Every document word
-    meets only its own file, and only matches are shuffled.
+    Rarity is counted over all documents, only for words of the benchmark. The filed windows
+    are broadcast in blocks of at most about ``BLOCK``: a benchmark larger than that costs one
+    more pass over the documents for each block. Every document word meets only its own file,
+    and only matches are shuffled.
     """
     items = benchmark.select(
         F.xxhash64("item_id", "text").alias("item_key"), "item_id", words(F.col("text")).alias("words")
@@ -75,37 +89,42 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     # Windows stay within one text, also where several texts share an id.
     keyed = items.select(F.struct("item_id", "item_key").alias("item_id"), "words")
     vocabulary = items.select(F.explode("words").alias("word")).distinct()
-    counts = (
-        docs.select(F.explode(words(F.col("text"))).alias("word"))
-        .join(vocabulary, "word")
-        .groupBy("word")
-        .agg(F.count("*").alias("n"))
+    spoken = docs.select(F.explode(words(F.col("text"))).alias("word"))
+    counts = reduce(
+        DataFrame.unionByName,
+        [
+            spoken.join(F.broadcast(part), "word").groupBy("word").agg(F.count("*").alias("n"))
+            for part in _blocks(vocabulary, "word", "benchmark-words", block)
+        ],
     )
-    filed = _windows(keyed, counts, size).select("anchor", "offset", "window", F.col("item_id.item_id").alias("item_id"))
-    filed = filed.withColumn("filed", F.lit(True))
+    filed = _windows(keyed, counts, size).withColumn("item_id", F.col("item_id.item_id"))
     start = F.col("pos") - F.col("offset")
-    length = F.size("window")
     occurs = F.coalesce(
-        F.col("filed")
-        & (start >= 0)
-        & (start + length <= F.col("n_words"))
-        & (F.slice("words", F.greatest(start, F.lit(0)) + 1, length) == F.col("window")),
+        (start >= 0)
+        & (start + F.col("length") <= F.col("n_words"))
+        & (F.array_join(F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("length")), " ") == F.col("window")),
         F.lit(False),
     )
-    met = (
+    told = (
         docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), words(F.col("text")).alias("words"))
         .withColumn("n_words", F.size("words"))
         .select("doc_id", "text_hash", "n_words", "words", F.posexplode_outer("words").alias("pos", "word"))
-        .join(filed, F.col("word") == F.col("anchor"), "left")
-        # The first word keeps a document without matches in the result.
-        .where(occurs | (F.coalesce("pos", F.lit(0)) == 0))
-        .select(
-            "doc_id",
-            "text_hash",
-            "n_words",
-            F.when(occurs, F.struct(start.alias("start"), length.alias("length"))).alias("span"),
-            F.when(occurs, F.struct("item_id")).alias("item"),
-        )
+    )
+    met = reduce(
+        DataFrame.unionByName,
+        [
+            told.join(F.broadcast(part), F.col("word") == F.col("anchor"), "left" if i == 0 else "inner")
+            # The first word keeps a document without matches in the result.
+            .where(occurs | (F.coalesce("pos", F.lit(0)) == 0))
+            .select(
+                "doc_id",
+                "text_hash",
+                "n_words",
+                F.when(occurs, F.struct(start.alias("start"), F.col("length").alias("length"))).alias("span"),
+                F.when(occurs, F.struct("item_id")).alias("item"),
+            )
+            for i, part in enumerate(_blocks(filed, "anchor", "benchmark-windows", block))
+        ],
     )
     covered = F.aggregate(
         "spans",

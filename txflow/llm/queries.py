@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txflow.llm import chat, decontamination, fingerprints
-from txflow.llm.common import table
+from txflow.llm import chat, decontamination, extraction, fingerprints, language, quality, toxicity
+from txflow.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,30 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extraction.extract_pages(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(~held_out(F.col("doc_id"))))
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame(CONTROL_TURNS, "conv_id long, turn long, role string, text string")
@@ -58,5 +82,31 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A document with a lower score is rejected.
+KEEP_FROM = 0.3
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score_documents(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= KEEP_FROM).cast("int").alias("predicted"),
+    )
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_fingerprints, op7_chat_formatting, op9_decontamination)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_fingerprints,
+            op3_html_extraction,
+            op4_toxicity,
+            op6_language_id,
+            op7_chat_formatting,
+            op9_decontamination,
+            op10_quality,
+        )
+    }

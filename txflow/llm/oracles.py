@@ -71,5 +71,31 @@ from ({decontamination()})
 """
 
 
+_SPACES = r"[^\x20\x09-\x0D]+"
+
+
+def substring_dedup(docs: str = "documents") -> str:
+    """doc_id, n_words, the kept words and the removed number of words of ``docs``."""
+    return rf"""
+with d as (select row_number() over () as k, doc_id, regexp_extract_all(coalesce(text, ''), '{_SPACES}') as w from {docs}),
+win as (
+  select k, p, array_to_string(list_slice(w, p, p + 34), ' ') as s from d, unnest(range(1, len(w) - 33)) as u(p)
+  where len(w) >= 35
+),
+twice as (select s from win group by s having count(*) > 1),
+hit as (select distinct k, q from win join twice using (s), unnest(range(p, p + 35)) as u(q)),
+word as (select k, q, w[q] as word from d, unnest(range(1, len(w) + 1)) as u(q)),
+kept as (
+  select k, string_agg(word, ' ' order by q) as kept from word anti join hit using (k, q) group by k
+),
+removed as (select k, count(*) as n from hit group by k)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n, 0) as n_removed, coalesce(kept, '') as kept
+from d left join kept using (k) left join removed using (k)
+"""
+
+
+SUBSTRING_DEDUP = f"select doc_id, n_words, n_removed, sha256(kept) as kept_sha256 from ({substring_dedup()})"
+
+
 def oracles() -> dict[str, str]:
-    return {"op7_chat_formatting": CHAT, "op9_decontamination": DECONTAMINATION}
+    return {"op2_substring_dedup": SUBSTRING_DEDUP, "op7_chat_formatting": CHAT, "op9_decontamination": DECONTAMINATION}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txflow.llm import chat, decontamination, extraction, fingerprints, language, quality, toxicity
+from txflow.llm import chat, decontamination, extraction, fingerprints, language, quality, substrings, toxicity
 from txflow.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,16 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0), lambda a, s: a + s.end - s.start)
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        removed.cast("long").alias("n_removed"),
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = extraction.extract_pages(table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
@@ -102,6 +112,7 @@ def queries() -> dict[str, Query]:
         f.__name__: f
         for f in (
             op1_fingerprints,
+            op2_substring_dedup,
             op3_html_extraction,
             op4_toxicity,
             op6_language_id,

@@ -2,14 +2,14 @@
 
 A fingerprint is a sum of wide vectors, one per paragraph, lane by lane modulo 2**32:
 
-* lane 0 counts the shingles of words,
-* 8 lanes sum a 256-bit hash of the whole paragraph (equality),
-* 64 lanes sum the hash bits of the paragraph's three-word shingles (likeness).
+* lane 0 counts the words,
+* 4 lanes sum a 128-bit hash of the whole paragraph (equality),
+* 64 lanes sum signs: each word with its two followers in the paragraph is a shingle, whose
+  hash picks a lane and adds or takes one there (likeness).
 
 The order of paragraphs does not matter, and a paragraph is added or removed by adding or
-subtracting its own vector. The likeness lanes are a linear sketch: twice the lane less the
-count is a sum of random signs, so the mean square of the difference of two fingerprints
-estimates the number of shingles in which the texts differ.
+subtracting its own vector. The likeness lanes are a linear sketch: the sum of the squared
+differences of two fingerprints' lanes estimates in how many shingles the texts differ.
 """
 
 from __future__ import annotations
@@ -20,51 +20,41 @@ from pyspark.sql import functions as F
 from txflow.llm.common import SPACES
 
 SEEDS = [11, 23, 37, 53]
-PACKED = 32
-LANES = 1 + 2 * len(SEEDS) + 2 * PACKED
+SIGNS = 64
 MODULUS = 1 << 32
 _LOW = MODULUS - 1
 
 
 def _sums(texts: DataFrame, keys: list[str]) -> DataFrame:
     """``keys`` and ``lanes`` for each row of ``texts`` (keys and text), whose keys are unique.
-    Two packed lanes of 32 bits travel in one long; a sum would overflow at 2**31 words."""
+    Words are summed by lane where the text is; what is gathered is at most a row per lane."""
     has_words = lambda p: p.rlike(r"[^\x20\x09-\x0D]")
-    paragraphs = F.filter(F.split("text", "\n"), has_words)
-    word = F.array_remove(F.split("paragraph", SPACES), "")
-    halves = [half for s in SEEDS for half in (F.shiftrightunsigned(F.col(f"id{s}"), 32), F.col(f"id{s}").bitwiseAND(_LOW))]
-    mask = F.lit(MODULUS + 1)
-    first = F.coalesce(F.col("pos"), F.lit(-1)) == 0
+    words = F.array_remove(F.split("paragraph", SPACES), "")
+    shingles = F.arrays_zip("w", F.slice("w", 2, F.size("w")).alias("x"), F.slice("w", 3, F.size("w")).alias("y"))
+    ids = [f"id{s}" for s in SEEDS]
     rows = (
-        texts.select(*keys, F.explode_outer(paragraphs).alias("paragraph"))
-        .select(
-            *keys,
-            *[F.xxhash64("paragraph", F.lit(s)).alias(f"id{s}") for s in SEEDS],
-            word.alias("w"),
-        )
-        .select(
-            *keys,
-            *[f"id{s}" for s in SEEDS],
-            F.posexplode_outer(F.arrays_zip("w", F.slice("w", 2, F.size("w")).alias("x"), F.slice("w", 3, F.size("w")).alias("y"))).alias(
-                "pos", "s"
-            ),
-        )
+        texts.select(*keys, F.explode_outer(F.filter(F.split("text", "\n"), has_words)).alias("paragraph"))
+        .select(*keys, *[F.xxhash64("paragraph", F.lit(s)).bitwiseAND(_LOW).alias(f"id{s}") for s in SEEDS], words.alias("w"))
+        .select(*keys, *ids, F.posexplode_outer(shingles).alias("pos", "s"))
         .withColumn("h", F.xxhash64("s.w", "s.x", "s.y"))
     )
-    there = F.col("pos").isNotNull()
-    packed = [
-        F.coalesce(F.sum(F.when(there, F.shiftrightunsigned(F.col("h"), i).bitwiseAND(mask))), F.lit(0)).alias(f"p{i}")
-        for i in range(PACKED)
-    ]
-    summed = rows.groupBy(*keys).agg(
-        F.count("pos").alias("n"),
-        *[F.coalesce(F.sum(F.when(first, half)), F.lit(0)).alias(f"e{i}") for i, half in enumerate(halves)],
-        *packed,
+    there, h = F.col("pos").isNotNull(), F.col("h")
+    by_lane = (
+        rows.groupBy(*keys, F.when(there, h.bitwiseAND(SIGNS - 1).cast("int")).otherwise(0).alias("lane"))
+        .agg(
+            F.count("pos").alias("n"),
+            F.sum(F.when(there, F.when(h < 0, -1).otherwise(1)).otherwise(0)).alias("sign"),
+            *[F.sum(F.when(F.col("pos") == 0, F.col(i)).otherwise(0)).alias(i) for i in ids],
+        )
+    )
+    gathered = by_lane.groupBy(*keys).agg(
+        F.sum("n").alias("n"),
+        *[F.sum(i).alias(i) for i in ids],
+        F.map_from_entries(F.collect_list(F.struct("lane", "sign"))).alias("signs"),
     )
-    lanes = [F.col("n")] + [F.col(f"e{i}") for i in range(len(halves))]
-    for i in range(PACKED):
-        lanes += [F.col(f"p{i}").bitwiseAND(_LOW), F.shiftrightunsigned(F.col(f"p{i}"), 32)]
-    return summed.select(*keys, F.transform(F.array(*lanes), lambda x: x.bitwiseAND(_LOW)).alias("lanes"))
+    signs = F.transform(F.sequence(F.lit(0), F.lit(SIGNS - 1)), lambda i: F.coalesce(F.try_element_at("signs", i), F.lit(0)))
+    lanes = F.concat(F.array("n", *ids), signs)
+    return gathered.select(*keys, F.transform(lanes, lambda x: x.bitwiseAND(_LOW)).alias("lanes"))
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
@@ -78,14 +68,12 @@ def fingerprint(lanes: Column) -> Column:
 
 
 def _squares(lanes: Column) -> Column:
-    """Estimated sum of the squared shingle counts: mean square of the signed lanes."""
+    """Estimated sum of the squared shingle counts: that of the signed lanes."""
     signed = F.transform(
-        F.slice(lanes, 2 + 2 * len(SEEDS), 2 * PACKED),
-        lambda x: 2.0 * (x - F.when(x >= MODULUS // 2, MODULUS).otherwise(0)),
+        F.slice(lanes, 2 + len(SEEDS), SIGNS),
+        lambda x: (x - F.when(x >= MODULUS // 2, MODULUS).otherwise(0)).cast("double"),
     )
-    n = F.element_at(lanes, 1)
-    n = (n - F.when(n >= MODULUS // 2, MODULUS).otherwise(0)).cast("double")
-    return F.aggregate(F.transform(signed, lambda s: (s - n) * (s - n)), F.lit(0.0), lambda a, x: a + x) / (2 * PACKED)
+    return F.aggregate(signed, F.lit(0.0), lambda a, x: a + x * x)
 
 
 def likeness(a: Column, b: Column) -> Column:

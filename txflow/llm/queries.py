@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txflow.llm import chat, decontamination, extraction, fingerprints, language, quality, substrings, toxicity
+from txflow.llm import chat, decontamination, extraction, fingerprints, jaccard, language, quality, substrings, toxicity
 from txflow.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.where(~held_out(F.col("doc_id"))))
@@ -115,6 +119,7 @@ def queries() -> dict[str, Query]:
             op2_substring_dedup,
             op3_html_extraction,
             op4_toxicity,
+            op5_jaccard_join,
             op6_language_id,
             op7_chat_formatting,
             op9_decontamination,

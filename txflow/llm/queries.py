@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txflow.llm import chat, decontamination, extraction, fingerprints, jaccard, language, quality, substrings, toxicity
+from txflow.llm import chat, decontamination, extraction, fingerprints, jaccard, language, mixing, quality, substrings, toxicity
 from txflow.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,11 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return mixed.select("doc_id", "n_tokens", "domain", "rate")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
@@ -122,6 +127,7 @@ def queries() -> dict[str, Query]:
             op5_jaccard_join,
             op6_language_id,
             op7_chat_formatting,
+            op8_mixing,
             op9_decontamination,
             op10_quality,
         )

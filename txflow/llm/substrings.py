@@ -199,11 +199,13 @@ _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 _ANSWER = "n_words long, kept string, spans array<struct<start:int,end:int>>"
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, window: int = WINDOW, seed: int = SEED, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Remove every word inside a window of ``window`` words that occurs twice or more.
 
-    ``docs`` needs doc_id and text; other columns are ignored. Returns doc_id, tag (bits of the
-    text's hash), n_words, kept (the remaining words joined by one space) and spans (removed
+    ``docs`` needs doc_id and text; of the other columns those in ``carry`` are passed on, whose
+    names must not be among the result's. Returns doc_id, tag (bits of the text's hash), n_words, kept (the remaining words joined by one space) and spans (removed
     runs of words, start and end). One row per input row.
 
     Words are runs without ASCII white space. A null text has no words. Texts shorter than a
@@ -216,6 +218,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
         "doc_id",
         F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 24)).alias("tag"),
         F.coalesce("text", F.lit("")).alias("text"),
+        *carry,
     )
     places = stored(_stretches(base, window, seed), "stretches")
     twice = places.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed")
@@ -237,7 +240,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
         F.collect_list(F.struct("place", "whole", "shown")).alias("stretches")
     )
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["tag"] == b["tag"])
-    joined = base.join(by_doc, same(base, by_doc), "left").select(base["doc_id"], base["tag"], "text", "stretches")
+    joined = base.join(by_doc, same(base, by_doc), "left").select(
+        base["doc_id"], base["tag"], "text", "stretches", *carry
+    )
     kind = docs.schema["doc_id"].dataType.simpleString()
     mask = (1 << _FIRST_BITS) - 1
 
@@ -303,6 +308,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
                     pa.array(starts, pa.list_(pa.int32())),
                     pa.array(hashes, pa.list_(pa.int64())),
                     pa.array(more, pa.list_(pa.int64())),
+                    *part.columns[4:],
                 ],
                 names=list(extended.names),
             )
@@ -311,6 +317,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
         f"doc_id {kind}, tag long, {_ANSWER}, text string, done array<struct<start:int,end:int>>, "
         "starts array<int>, h1 array<long>, h2 array<long>"
     )
+    extended = T.StructType([*extended.fields, *[docs.schema[c] for c in carry]])
     part = stored(joined.mapInArrow(extend, extended), "extended")
     windows = (
         part.where(F.size("starts") > 0)
@@ -321,11 +328,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
     hits = (
         windows.where("starts >= 0").join(again, ["h1", "h2"]).groupBy("doc_id", "tag").agg(F.collect_list("starts").alias("hits"))
     )
-    open_docs = part.where(F.col("text").isNotNull()).select("doc_id", "tag", "n_words", "text", "done")
+    open_docs = part.where(F.col("text").isNotNull()).select("doc_id", "tag", "n_words", "text", "done", *carry)
     ended = open_docs.join(hits, same(open_docs, hits), "left").select(
-        open_docs["doc_id"], open_docs["tag"], "n_words", "text", "done", "hits"
+        open_docs["doc_id"], open_docs["tag"], "n_words", "text", "done", "hits", *carry
     )
     answer = T.StructType.fromDDL(f"doc_id {kind}, tag long, {_ANSWER}")
+    answer = T.StructType([*answer.fields, *[docs.schema[c] for c in carry]])
 
     def finish(batches):
         for part, texts in texts_in_bites(batches, "text"):
@@ -339,7 +347,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
                 kept.append(_kept(words, covered))
                 spans.append([{"start": x, "end": y} for x, y in _spans(covered)])
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), part.column(2), pa.array(kept, pa.string()), pa.array(spans, _SPANS)],
+                [*part.columns[:3], pa.array(kept, pa.string()), pa.array(spans, _SPANS), *part.columns[6:]],
                 names=answer.names,
             )
 

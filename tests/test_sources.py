@@ -156,3 +156,29 @@ def test_synthetic_domains(spark):
         assert set(counts) == set(values)
         assert min(counts.values()) > 0.8 * 20_000 / len(counts)
     assert df.filter(F.abs(F.col("amount") * F.col("quantity") - F.col("total")) > 0.005).count() == 0
+
+
+def test_times_beyond_a_trillion_seconds(spark):
+    """A time is kept, or its line is corrupt and counted; it is never replaced by the clock."""
+    rows = [(f'{{"event_id":{i},"timestamp":{t}}}',) for i, t in enumerate(["1.7e12", "9.2e12", "1e13", "-1e13", "5.0"])]
+    lines = spark.createDataFrame(rows, "value string")
+    events = with_clock(parse_events(lines, RECORDED_EVENT_SCHEMA)).orderBy("event_id").collect()
+    assert [(e.event_id, e.event_us, e.arrival_us) for e in events] == [
+        (0, 1_700_000_000_000_000_000, 1_700_000_000_000_000_000),
+        (1, 9_200_000_000_000_000_000, 9_200_000_000_000_000_000),
+        (4, 5_000_000, 5_000_000),
+    ]
+    quality = line_quality(lines, RECORDED_EVENT_SCHEMA).first()
+    assert (quality.lines, quality.corrupt_lines) == (5, 2)
+
+
+def test_lines_that_continue_after_their_object_are_corrupt(spark):
+    rows = [
+        ('{"event_id":3,"timestamp":5.0},"x":1',),
+        ('{"event_id":4},"record":{"event_id":5}',),
+        ('{"event_id":6},"complete":true',),
+        ('{"event_id":7}',),
+    ]
+    lines = spark.createDataFrame(rows, "value string")
+    assert [e.event_id for e in parse_events(lines).collect()] == [7]
+    assert line_quality(lines).first().corrupt_lines == 3

@@ -73,14 +73,14 @@ def test_runs_on_one_checkpoint_equal_the_batch(spark, feed, dirs):
     assert got_columns == columns
     assert closed == [r for r in expected if r[columns.index("window_id")] != rows[-1][2] // 5_000_000]
 
-    S.flush(spark, out, checkpoint, SIZE)
+    S.flush(spark, out, SIZE)
     assert spark_rows(S.read_results(spark, out, flushed=True)) == (columns, expected)
 
     # The stream goes on after the flush: its own, later report of the window wins.
     more = [(900 + i, None, rows[-1][2] + i * 4_000_000, "N", "Food", 1.0, False) for i in range(5)]
     feed.add([as_line(r) for r in more])
     S.run(recorded(spark, feed), out, checkpoint, SIZE)
-    S.flush(spark, out, checkpoint, SIZE)
+    S.flush(spark, out, SIZE)
     assert spark_rows(S.read_results(spark, out, flushed=True)) == in_batch(spark, rows + more)
 
 
@@ -91,7 +91,7 @@ def test_many_small_batches_equal_one(spark, feed, dirs):
         feed.add([as_line(r) for r in rows[cut : cut + 10]])
         time.sleep(0.05)  # files are taken in the order of their times
     S.run(recorded(spark, feed, files_per_batch=1), out, checkpoint, SIZE)
-    S.flush(spark, out, checkpoint, SIZE)
+    S.flush(spark, out, SIZE)
     assert spark_rows(S.read_results(spark, out, flushed=True)) == in_batch(spark, rows)
 
 
@@ -101,9 +101,9 @@ def test_a_failed_batch_runs_again_without_duplicates(spark, feed, dirs, monkeyp
     feed.add([as_line(r) for r in rows])
     finish = S.finish_windows
 
-    def fails_late(cells, size):
+    def fails_late(labels, latencies, size):
         # The batch's cells are stored already; its results are half there.
-        finish(cells, size).limit(3).write.mode("overwrite").json(f"{out}/results/batch_id=1")
+        finish(labels, latencies, size).limit(3).write.mode("overwrite").json(f"{out}/results/batch_id=0")
         raise RuntimeError("lost")
 
     monkeypatch.setattr(S, "finish_windows", fails_late)
@@ -111,14 +111,14 @@ def test_a_failed_batch_runs_again_without_duplicates(spark, feed, dirs, monkeyp
         S.run(recorded(spark, feed), out, checkpoint, SIZE)
     monkeypatch.setattr(S, "finish_windows", finish)
     S.run(recorded(spark, feed), out, checkpoint, SIZE)
-    S.flush(spark, out, checkpoint, SIZE)
+    S.flush(spark, out, SIZE)
     assert spark_rows(S.read_results(spark, out, flushed=True)) == in_batch(spark, rows)
 
 
 def test_a_stream_without_input_reports_nothing(spark, feed, dirs):
     out, checkpoint = dirs
     S.run(recorded(spark, feed), out, checkpoint, SIZE)
-    S.flush(spark, out, checkpoint, SIZE)
+    S.flush(spark, out, SIZE)
     assert S.read_results(spark, out, flushed=True).collect() == []
 
 
@@ -129,7 +129,7 @@ def test_overall_statistics_from_stored_cells(spark, feed, dirs):
     S.run(recorded(spark, feed), out, checkpoint, SIZE)
     closed = [r for r in rows if r[2] // 5_000_000 != rows[-1][2] // 5_000_000]
     stamped = W.stamp_events(spark.createDataFrame(closed, SCHEMA), SIZE, replay=False)
-    overall = W.overall_from_cells(S.read_cells(spark, out), SIZE)
+    overall = W.overall_from_cells(*S.read_cells(spark, out, SIZE), SIZE)
     assert spark_rows(overall) == spark_rows(W.overall_stats(stamped, SIZE))
 
 
@@ -149,23 +149,68 @@ def test_live_run_stops_after_its_duration(spark, feed, dirs):
     S.run(live, out, checkpoint, 1.0, duration=15)
     producer.join()
     assert 14 < time.monotonic() - begun < 60
-    S.flush(spark, out, checkpoint, 1.0)
+    S.flush(spark, out, 1.0)
     rows = S.read_results(spark, out, flushed=True).collect()
     assert sum(r.event_count for r in rows) == 24
     assert sum(r.total_revenue for r in rows) == 24.0
     assert len({r.window_id for r in rows}) == len(rows) > 1
 
 
+def test_late_rows_reach_windows_that_were_reported(spark, feed, dirs):
+    """Batches out of order: every event is in the results, whatever was reported before."""
+    out, checkpoint = dirs
+    rows = [(i, None, (1_000 + t) * 1_000_000, "N", "Food", 1.0, False) for i, t in enumerate([0, 12, 1, 25, 13, 2, 40])]
+    for cut in ((0, 2), (2, 3), (3, 4), (4, 6), (6, 7)):
+        feed.add([as_line(r) for r in rows[slice(*cut)]])
+        time.sleep(0.05)
+    S.run(recorded(spark, feed, files_per_batch=1), out, checkpoint, SIZE)
+    closed = S.read_results(spark, out).collect()
+    assert sum(r.event_count for r in closed) == 6
+    S.flush(spark, out, SIZE)
+    assert spark_rows(S.read_results(spark, out, flushed=True)) == in_batch(spark, rows)
+
+
+def test_batches_that_close_nothing_report_nothing(spark, feed, dirs):
+    out, checkpoint = dirs
+    for second in (1000, 1001, 1002, 1007):
+        feed.add([as_line((second, None, second * 1_000_000, "N", "Food", 1.0, False))])
+        time.sleep(0.05)
+    S.run(recorded(spark, feed, files_per_batch=1), out, checkpoint, SIZE)
+    reports = list((feed.path.parent / "out" / "results").iterdir())
+    assert [p.name for p in reports] == ["batch_id=3"]
+    latencies = spark.read.parquet(f"{out}/cells/latencies")
+    assert latencies.columns == ["window_id", "latency_us", "events", "batch_id"]
+
+
+@pytest.mark.parametrize("per_batch", [None, 1])
+def test_event_time_stream_equals_the_batch_rule(spark, feed, dirs, per_batch):
+    """Closed windows agree with the batch operator over one and over many batches."""
+    out, checkpoint = dirs
+    rows = [r for r in random_stream(27, 90)]
+    for cut in range(0, 90, 30):
+        feed.add([as_line(r) for r in rows[cut : cut + 30]])
+        time.sleep(0.05)
+    S.append_to(S.event_time_totals(recorded(spark, feed, per_batch), SIZE), out, checkpoint)
+    expected = W.event_time_windows(spark.createDataFrame(rows, SCHEMA), SIZE)
+    columns = ["window_id", "event_count", "total_revenue", "fraud_count"]
+    got = {r.window_id: tuple(r) for r in spark.read.parquet(out).select(*columns).collect()}
+    want = {r.window_id: tuple(r) for r in expected.select(*columns).collect()}
+    assert sum(r[1] for r in want.values()) < len(rows)  # late rows are really discarded
+    last = max(want)
+    assert {w for w in want if w < last - 1} <= set(got) <= set(want)
+    assert all(want[w] == row for w, row in got.items())
+
+
 def test_event_time_stream_discards_stragglers(spark, feed, dirs):
     out, checkpoint = dirs
 
-    def event(event_id, seconds):
-        return json.dumps({"event_id": event_id, "timestamp": seconds, "arrival": seconds, "total": 1.5})
+    def event(event_id, seconds, arrival=None):
+        return json.dumps({"event_id": event_id, "timestamp": seconds, "arrival": arrival or seconds, "total": 1.5})
 
     for batch in (
         [event(1, 1000.0), event(2, 1004.0)],
         [event(3, 1007.5)],  # watermark 1005.5: window 1000-1005 closes
-        [event(4, 1003.0), event(5, 1006.0), event(6, 1020.0)],  # the first is too late
+        [event(4, 1003.0, 1008.0), event(5, 1006.0, 1008.0), event(6, 1020.0)],  # the first is too late
     ):
         feed.add(batch)
         S.append_to(S.event_time_totals(recorded(spark, feed), SIZE), out, checkpoint)

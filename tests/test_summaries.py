@@ -9,7 +9,7 @@ from tests.test_cleaning import variants
 from txflow.functions.money import money_mean, money_sum
 from txflow.operators.cleaning import clean_transactions
 from txflow.operators.features import engineer_features
-from txflow.operators.summaries import SHARED_CELLS, SUMMARIES, region_stats, sales_cells, user_stats
+from txflow.operators.summaries import approximate_buyers, SHARED_CELLS, SUMMARIES, region_stats, sales_cells, user_stats
 from txflow.sources.synthetic import synthesize_range
 
 
@@ -96,3 +96,23 @@ def test_sorted_by_the_leading_measure(spark):
     }.items():
         values = [r[measure] for r in SUMMARIES[name](df).collect()]
         assert values == sorted(values, reverse=True)
+
+
+def test_money_has_no_limit_and_loses_no_digits(spark):
+    def total(values, partitions):
+        df = spark.createDataFrame([(v,) for v in values], "x double").repartition(partitions)
+        return df.agg(money_sum(F.col("x")), money_mean(F.col("x"))).first()
+
+    for partitions in (1, 7):
+        assert tuple(total([9e14] * 20_000, partitions)) == (1.8e19, 9e14)
+        assert total([1e-7] * 1_000_000, partitions)[0] == 0.1
+        mixed = [1e15, 0.01, -1e15, 0.02, 123456789.99, -0.03]
+        assert total(mixed, partitions)[0] == 123456789.99
+        assert total(mixed[::-1], partitions)[0] == 123456789.99
+        assert total([1e25, 1.0, -1e25, 0.25], partitions)[0] == 1.25
+    assert total([-1.0, 0.005], 1)[0] == -1.0  # -0.995, half away from zero
+
+
+def test_approximate_buyers_are_close(spark):
+    df = spark.range(40_000).select((F.col("id") % 20_000).alias("user_id"), F.lit("Food").alias("product_category"))
+    assert abs(approximate_buyers(df).first().unique_buyers - 20_000) < 2_000

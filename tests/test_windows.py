@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from tests.compare import spark_rows
 from txflow.operators import windows as W
-from txflow.operators.delivery import backlog_depth, drop_replays, fraud_spikes, resume_after, resume_first
+from txflow.operators.delivery import (
+    backlog_depth,
+    drop_replays,
+    fraud_spikes,
+    resume_after,
+    resume_first,
+    with_event_date,
+)
+from txflow.operators.ranks import exact_percentiles
 
 SCHEMA = (
     "event_id long, event_us long, arrival_us long, region string, product_category string, "
@@ -161,7 +169,7 @@ def test_overall_stats(spark):
         "avg_throughput_per_second": half_up(Decimal(len(rows)) / len(windows) / 5, 2),
     }
     assert W.overall_stats(stamped, SIZE).first().asDict() == expected
-    assert W.overall_from_cells(W.window_cells(stamped), SIZE).first().asDict() == expected
+    assert W.overall_from_cells(W.label_cells(stamped), W.latency_cells(stamped), SIZE).first().asDict() == expected
 
 
 def test_no_events_give_no_rows(spark):
@@ -249,3 +257,44 @@ def test_window_size_must_be_positive(spark):
 def test_fractional_window_size(spark):
     df = spark.createDataFrame([(2_400_000,), (2_500_000,)], "event_us long").withColumn("arrival_us", F.col("event_us"))
     assert [r.event_window_id for r in W.assign_window(df, 2.5).collect()] == [0, 1]
+
+
+def test_exactly_one_event_is_first(spark):
+    """Three events without id arrive together first: one joins its own window."""
+    rows = [(None, 1_000_000, 21_000_000, "N", "Food", 1.0, False)] * 3 + [(7, None, 22_000_000, "N", "Food", 1.0, False)]
+    placed = W.stamp_events(spark.createDataFrame(rows, SCHEMA).repartition(3), SIZE)
+    counts = {r.window_id: r["count"] for r in placed.groupBy("window_id").count().collect()}
+    assert counts == {0: 1, 4: 3}
+
+
+def test_of_equal_labels_the_pair_of_arrival_and_id_decides(spark):
+    rows = [(5, None, 1_000_000, "A", "A"), (1, None, 2_000_000, "A", "A"), (3, None, 1_000_000, "B", "B"), (9, None, 2_000_000, "B", "B")]
+    events = spark.createDataFrame([(*r, 1.0, False) for r in rows], SCHEMA)
+    stamped = W.stamp_events(events, SIZE)
+    assert W.window_top(stamped, "region", "top").first().top == "B"
+    stats = W.window_stats(stamped, SIZE).first()
+    assert (stats.top_region, stats.top_category) == ("B", "B")
+
+
+def test_events_without_any_time_and_null_keys_are_errors(spark):
+    events = spark.createDataFrame([(1, None, None, "N", "Food", 1.0, False)], SCHEMA)
+    with pytest.raises(Exception, match="time of an event is null"):
+        W.window_totals(W.stamp_events(events, SIZE, replay=False), SIZE).collect()
+    rows = spark.createDataFrame([(None, 5), (1, 7)], "k long, v long")
+    with pytest.raises(Exception, match="k is null"):
+        exact_percentiles(rows, ["k"], "v", {"p50": 0.5}).collect()
+
+
+def test_dates_before_1970(spark):
+    events = spark.createDataFrame([(1, -1, 5), (2, 0, 5), (3, -86_400_000_001, 5)], "event_id long, event_us long, arrival_us long")
+    days = [(r.year, r.month, r.day) for r in with_event_date(events).orderBy("event_id").collect()]
+    assert days == [(1969, 12, 31), (1970, 1, 1), (1969, 12, 30)]
+
+
+def test_approximate_percentiles_are_close(spark):
+    events = [(i, (i * 7919 % 5000) * 1000, 10_000_000, "N", "Food", 1.0, False) for i in range(5000)]
+    stamped = W.stamp_events(spark.createDataFrame(events, SCHEMA), SIZE, replay=False)
+    exact, close = W.window_latency_percentiles(stamped).first(), W.window_latency_percentiles_approximate(stamped).first()
+    for name in exact.asDict():
+        assert abs(exact[name] - close[name]) <= 2
+    assert exact.latency_max_ms == close.latency_max_ms

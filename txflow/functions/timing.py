@@ -15,9 +15,18 @@ def size_micros(seconds: float) -> int:
     return micros
 
 
+#: The latest and, negated, the earliest second whose microseconds fit in 64 bits.
+MOST_SECONDS = 9.223372036854775e12
+
+
+def holds_time(seconds: Column) -> Column:
+    """The seconds are missing or can be held as microseconds; NaN and infinity cannot."""
+    return seconds.isNull() | (F.abs(seconds) <= MOST_SECONDS)
+
+
 def seconds_to_micros(seconds: Column) -> Column:
-    """Fractional seconds to the nearest microsecond; NaN and out-of-range give null."""
-    return F.when(F.abs(seconds) < 1e12, F.rint(seconds * MICROS)).cast("long")
+    """Fractional seconds to the nearest microsecond; null if they cannot be held."""
+    return F.when(F.abs(seconds) <= MOST_SECONDS, F.rint(seconds * MICROS)).cast("long")
 
 
 def micros_to_seconds(micros: Column) -> Column:

@@ -23,16 +23,18 @@ def resume_first(events: DataFrame, last_processed: int, n: int = 200) -> DataFr
 
 
 def drop_replays(events: DataFrame) -> DataFrame:
-    """Each event once, as it arrived first.  Events without id cannot be told apart and
-    are all kept."""
-    copy = F.struct("arrival_us", *[c for c in events.columns if c != "arrival_us"])
-    identified = (
-        events.filter(F.col("event_id").isNotNull())
-        .groupBy(F.col("event_id").alias("id"))
-        .agg(F.min(copy).alias("event"))
-        .select("event.*")
+    """Each event once, as it arrived first; of copies that arrived together the smallest row.
+    Events without id cannot be told apart and are all kept.  One shuffle and one sort after it."""
+    rest = [c for c in events.columns if c not in ("arrival_us", "event_id")]
+    first = Window.partitionBy("event_id", "unnamed").orderBy("arrival_us", *rest)
+    # Events without id are spread by their content, so that they need not meet.
+    spread = F.when(F.col("event_id").isNull(), F.xxhash64("arrival_us", *rest))
+    return (
+        events.withColumn("unnamed", spread)
+        .withColumn("copy", F.row_number().over(first))
+        .filter("copy = 1 or event_id is null")
+        .select("arrival_us", *[c for c in events.columns if c != "arrival_us"])
     )
-    return identified.unionByName(events.filter(F.col("event_id").isNull()))
 
 
 def drop_replays_in_stream(events: DataFrame, within: str = "1 hour") -> DataFrame:
@@ -84,7 +86,9 @@ def backlog_depth(events: DataFrame, seconds: float = REPORT_SECONDS, alert: int
 
 def with_event_date(events: DataFrame) -> DataFrame:
     """``year, month, day`` of the event's own time, in UTC: the partition columns."""
-    day = F.date_from_unix_date(F.call_function("div", own_time(), F.lit(86_400 * MICROS)).cast("int"))
+    # Whole days rounded down, also before 1970.
+    micros = F.lit(86_400 * MICROS).cast("long")
+    day = F.date_from_unix_date(F.call_function("div", own_time() - F.pmod(own_time(), micros), micros).cast("int"))
     return events.withColumns({"year": F.year(day), "month": F.month(day), "day": F.day(day)})
 
 

@@ -7,12 +7,15 @@ when it arrives, and is late when its own time belongs to an earlier one.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txflow.functions.money import aliased_parts, money_total, parts_of, split_amount, sum_parts
 from txflow.functions.timing import micros_to_seconds, size_micros, window_index
-from txflow.operators.ranks import exact_percentiles
+from txflow.operators.ranks import approximate_percentiles, exact_percentiles, required
 from txflow.schemas import LATENCY_RANKS, MICROS, NO_EVENT_ID, UNKNOWN
 
 
@@ -27,9 +30,10 @@ def event_latency(events: DataFrame) -> DataFrame:
 
 
 def _placed(window: Column) -> Column:
-    """A window id, stated never to be null, as every event arrives.  Joins on it would
-    otherwise push null checks, with the whole computation of the id, down to the scan."""
-    return F.coalesce(window, F.lit(0))
+    """A window id, stated never to be null, as every event arrives; an event without any
+    time ends the job.  Joins on it would otherwise push null checks, with the whole
+    computation of the id, down to the scan."""
+    return required(window, T.LongType(), "the time of an event")
 
 
 def assign_window(events: DataFrame, size: float) -> DataFrame:
@@ -41,23 +45,31 @@ def assign_open_window(events: DataFrame, size: float, replay: bool = True) -> D
     """``window_id``: the window that is open when the event arrives.
 
     A replay of a whole recorded stream starts in the window of its first event's own
-    time and moves on with the arrival clock, never back.  That first event is one row,
-    found by one aggregate.  A live stream (``replay=False``) has no first event.
+    time and moves on with the arrival clock, never back.  That first event is exactly one
+    row: the one of lowest arrival, then id, then content; of rows equal in all fields any
+    one.  It is found by one aggregate, and rows equal to it are looked up on their own.  A
+    live stream (``replay=False``) has no first event.
     """
     arrival_window = _placed(window_index(F.col("arrival_us"), size))
     timed = assign_window(events, size)
     if not replay:
         return timed.withColumn("window_id", arrival_window)
+    content = F.xxhash64(*events.columns)
     first = timed.agg(
-        F.min(F.struct("arrival_us", _event_id().alias("event_id"), "event_window_id")).alias("first")
+        F.min(F.struct("arrival_us", _event_id().alias("event_id"), content.alias("content"), "event_window_id")).alias("first")
     )
-    is_first = (F.col("arrival_us") == F.col("first.arrival_us")) & (_event_id() == F.col("first.event_id"))
-    start = F.col("first.event_window_id")
-    return (
-        timed.withColumn("first", first.scalar())
-        .withColumn("window_id", _placed(F.when(is_first, start).otherwise(F.greatest(start, arrival_window))))
-        .drop("first")
+    same = (
+        (F.col("arrival_us") == F.col("first.arrival_us"))
+        & (_event_id() == F.col("first.event_id"))
+        & (content == F.col("first.content"))
     )
+    start = F.col("first.event_window_id")
+    later = _placed(F.greatest(start, arrival_window))
+    known = timed.withColumn("first", first.scalar())
+    copies = known.filter(same).withColumn("copy", F.row_number().over(Window.partitionBy("arrival_us").orderBy("arrival_us")))
+    heads = copies.withColumn("window_id", _placed(F.when(F.col("copy") == 1, start).otherwise(later))).drop("copy")
+    rest = known.filter(F.coalesce(~same, F.lit(True))).withColumn("window_id", later)
+    return rest.unionByName(heads).drop("first")
 
 
 def mark_late(events: DataFrame) -> DataFrame:
@@ -90,10 +102,17 @@ def _event_id() -> Column:
     return F.coalesce("event_id", F.lit(NO_EVENT_ID))
 
 
+def first_seen() -> Column:
+    """Arrival and id as one number, which orders like the pair.  A struct would turn the hash
+    aggregates below into sorts of all events.  Arrivals up to year 170,000 fit; a later one is
+    an error."""
+    return (F.col("arrival_us").cast("decimal(19,0)") * Decimal(1 << 64) + _event_id().cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def _frequency() -> Column:
-    """Orders counted labels.  First arrival and lowest id are two plain longs, not a pair:
-    a struct would turn the hash aggregate below into a sort of all events."""
-    return F.struct("events", -F.col("first_us"), -F.col("first_id"))
+    """Orders counted labels, the top one lowest: the most events, then the label seen first.
+    (Negating a decimal of more than 34 digits would round it.)"""
+    return F.struct((-F.col("events")).alias("fewer"), "first_seen")
 
 
 def _label(name: str) -> Column:
@@ -102,11 +121,12 @@ def _label(name: str) -> Column:
 
 # --- cells: the mergeable form of a window ----------------------------------
 #
-# A window is kept as counted cells of three kinds: one per region, one per category and
-# one per distinct latency.  Cells add up, so the same ones serve a batch aggregate, the
-# state of a stream and a table that outlives it; and no cell grows with the data.
+# A window is kept as two kinds of counted cells: label cells, one per region and category,
+# and latency cells, one per distinct latency, which only count.  Cells add up, so the same
+# ones serve a batch aggregate, the micro-batches of a stream and a table that outlives it;
+# and no cell grows with the data.
 
-CELL_KEY = ["kind", "label", "latency_us"]
+LABEL_KEY = ["region", "product_category"]
 
 
 def result_latency() -> Column:
@@ -115,70 +135,52 @@ def result_latency() -> Column:
     return F.round("latency_us", -1)
 
 
-def spread_cells(stamped: DataFrame, keys: list[str]) -> DataFrame:
-    """Each event as the three cells it counts in."""
-    none, no_latency = F.lit(None).cast("string"), F.lit(None).cast("long")
-
-    def cell(kind: str, label: Column, latency: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), label.alias("label"), latency.alias("latency_us"))
-
-    amount = F.coalesce(F.col("total"), F.lit(0.0))
-    measured = stamped.select(
-        *keys,
-        F.array(
-            cell("region", _label("region"), no_latency),
-            cell("category", _label("product_category"), no_latency),
-            cell("latency", none, result_latency()),
-        ).alias("cells"),
-        *aliased_parts(split_amount(amount), "total"),
-        F.coalesce(F.col("is_fraud"), F.lit(False)).cast("long").alias("fraud"),
-        F.col("is_late").cast("long").alias("late"),
-        F.col("arrival_us").alias("seen_us"),
-        _event_id().alias("seen_id"),
-    )
-    rest = [c for c in measured.columns if c not in (*keys, "cells")]
-    return measured.select(*keys, F.inline("cells"), *rest)
-
-
-def cell_measures() -> list[Column]:
-    return [
+def label_cells(stamped: DataFrame) -> DataFrame:
+    """Per window, region and category: events, revenue, fraud, lateness, first and last seen."""
+    amount = split_amount(F.coalesce(F.col("total"), F.lit(0.0)))
+    return stamped.groupBy("window_id", *[_label(c).alias(c) for c in LABEL_KEY]).agg(
         F.count(F.lit(1)).alias("events"),
-        *aliased_parts(sum_parts(parts_of("total")), "total"),
-        F.sum("fraud").alias("fraud"),
-        F.sum("late").alias("late"),
-        F.min("seen_us").alias("first_us"),
-        F.min("seen_id").alias("first_id"),
-    ]
+        *aliased_parts(sum_parts(amount), "total"),
+        F.count_if(F.coalesce(F.col("is_fraud"), F.lit(False))).alias("fraud"),
+        F.count_if("is_late").alias("late"),
+        F.min(first_seen()).alias("first_seen"),
+        F.max("arrival_us").alias("last_us"),
+    )
 
 
-def window_cells(stamped: DataFrame, keys: list[str] = ["window_id"]) -> DataFrame:
-    return spread_cells(stamped, keys).groupBy(*keys, *CELL_KEY).agg(*cell_measures())
+def latency_cells(stamped: DataFrame) -> DataFrame:
+    """Per window and latency: the number of events."""
+    rounded = stamped.select("window_id", result_latency().alias("latency_us"))
+    return rounded.groupBy("window_id", "latency_us").agg(F.count(F.lit(1)).alias("events"))
 
 
-def cell_totals(cells: DataFrame, size: float) -> DataFrame:
+def cell_totals(labels: DataFrame, size: float) -> DataFrame:
     """Per window: counts, revenue, fraud, lateness, top region and top category.
 
-    Of equally frequent labels the one that arrived first wins, then the one with the
-    lowest event id.
+    Of equally frequent labels the one that was seen first wins: lowest arrival, then lowest
+    id of that arrival.  Cells of one window may be stored in several parts.
     """
-
-    def top(kind: str) -> Column:
-        return F.max_by("label", F.when(F.col("kind") == kind, _frequency()))
-
-    once = F.col("kind") == "region"
+    by_label = labels.groupingSets(
+        [[F.col("window_id"), F.col("region")], [F.col("window_id"), F.col("product_category")]],
+        "window_id",
+        *LABEL_KEY,
+    ).agg(
+        (F.grouping("region") == 0).alias("of_region"),
+        F.sum("events").alias("events"),
+        *aliased_parts(sum_parts(parts_of("total")), "total"),
+        F.sum("fraud").alias("fraud"),
+        F.sum("late").alias("late"),
+        F.min("first_seen").alias("first_seen"),
+    )
+    once = F.col("of_region")
     sums = sum_parts({part: F.when(once, column) for part, column in parts_of("total").items()})
-    count, fraud = F.sum(F.when(once, F.col("events"))), F.sum(F.when(once, F.col("fraud")))
-    totals = (
-        cells.filter(F.col("kind") != "latency")
-        .groupBy("window_id")
-        .agg(
-            count.alias("event_count"),
-            money_total(sums).alias("total_revenue"),
-            fraud.alias("fraud_count"),
-            F.sum(F.when(once, F.col("late"))).alias("late_events"),
-            top("region").alias("top_region"),
-            top("category").alias("top_category"),
-        )
+    totals = by_label.groupBy("window_id").agg(
+        F.sum(F.when(once, F.col("events"))).alias("event_count"),
+        money_total(sums).alias("total_revenue"),
+        F.sum(F.when(once, F.col("fraud"))).alias("fraud_count"),
+        F.sum(F.when(once, F.col("late"))).alias("late_events"),
+        F.min_by("region", F.when(once, _frequency())).alias("top_region"),
+        F.min_by("product_category", F.when(~once, _frequency())).alias("top_category"),
     )
     return _with_rates(totals, size)
 
@@ -201,10 +203,10 @@ def _latency_ms(percentiles: DataFrame, prefix: str, keys: list[str]) -> DataFra
     )
 
 
-def cell_percentiles(cells: DataFrame) -> DataFrame:
+def cell_percentiles(latencies: DataFrame) -> DataFrame:
     """Per window: exact p50, p95, p99 and maximum latency in milliseconds."""
-    latencies = cells.filter(F.col("kind") == "latency")
-    ranked = exact_percentiles(latencies, ["window_id"], "latency_us", _RANKED, weight="events")
+    added = latencies.groupBy("window_id", "latency_us").agg(F.sum("events").alias("events"))
+    ranked = exact_percentiles(added, ["window_id"], "latency_us", _RANKED, weight="events")
     return _latency_ms(ranked, "latency", ["window_id"])
 
 
@@ -228,15 +230,15 @@ RESULT_COLUMNS = [
 ]
 
 
-def finish_windows(cells: DataFrame, size: float) -> DataFrame:
-    """The result rows of the windows that ``cells`` holds whole."""
-    joined = cell_totals(cells, size).join(cell_percentiles(cells), "window_id")
+def finish_windows(labels: DataFrame, latencies: DataFrame, size: float) -> DataFrame:
+    """The result rows of the windows whose cells these tables hold whole."""
+    joined = cell_totals(labels, size).join(cell_percentiles(latencies), "window_id")
     return with_bounds(joined, size).select(*RESULT_COLUMNS)
 
 
 def window_stats(stamped: DataFrame, size: float) -> DataFrame:
     """One result row per non-empty window, the last, partial one included."""
-    return finish_windows(window_cells(stamped), size)
+    return finish_windows(label_cells(stamped), latency_cells(stamped), size)
 
 
 # --- single measures, each from only the columns it needs -------------------
@@ -262,17 +264,20 @@ def window_latency_percentiles(stamped: DataFrame) -> DataFrame:
     return _latency_ms(ranked, "latency", ["window_id"])
 
 
+def window_latency_percentiles_approximate(stamped: DataFrame, accuracy: int = 10_000) -> DataFrame:
+    """The same with ranks that may be off by ``1 / accuracy`` of a window's events; a sketch
+    per window takes the place of a row per distinct latency."""
+    rounded = stamped.select("window_id", result_latency().alias("latency_us"))
+    return _latency_ms(approximate_percentiles(rounded, ["window_id"], "latency_us", _RANKED, accuracy), "latency", ["window_id"])
+
+
 def window_top(stamped: DataFrame, column: str, alias: str) -> DataFrame:
     """Per window, the most frequent value of ``column``; of equals, the one seen first."""
     return (
         stamped.groupBy("window_id", _label(column).alias("label"))
-        .agg(
-            F.count(F.lit(1)).alias("events"),
-            F.min("arrival_us").alias("first_us"),
-            F.min(_event_id()).alias("first_id"),
-        )
+        .agg(F.count(F.lit(1)).alias("events"), F.min(first_seen()).alias("first_seen"))
         .groupBy("window_id")
-        .agg(F.max_by("label", _frequency()).alias(alias))
+        .agg(F.min_by("label", _frequency()).alias(alias))
     )
 
 
@@ -296,20 +301,23 @@ def overall_stats(stamped: DataFrame, size: float) -> DataFrame:
     return _overall(counts, stamped.select(result_latency().alias("latency_us")), size, None)
 
 
-def overall_from_cells(cells: DataFrame, size: float) -> DataFrame:
+def overall_from_cells(labels: DataFrame, latencies: DataFrame, size: float) -> DataFrame:
     """The same row from the cells of all windows."""
-    per_window = cells.filter(F.col("kind") == "region").groupBy("window_id").agg(F.sum("events").alias("events"))
+    per_window = labels.groupBy("window_id").agg(F.sum("events").alias("events"))
     counts = per_window.agg(
         F.coalesce(F.sum("events"), F.lit(0)).alias("total_events"), F.count(F.lit(1)).alias("total_windows")
     )
-    by_latency = cells.filter(F.col("kind") == "latency").groupBy("latency_us")
-    latencies = by_latency.agg(F.sum("events").alias("events"))
-    return _overall(counts, latencies, size, "events")
+    by_latency = latencies.groupBy("latency_us").agg(F.sum("events").alias("events"))
+    return _overall(counts, by_latency, size, "events")
+
+
+def before_grace(window: Column, size: float, grace: float) -> Column:
+    """The event arrives no later than ``grace`` seconds after the window's end."""
+    return F.col("arrival_us") < (window + 1) * size_micros(size) + round(grace * MICROS)
 
 
 def event_time_windows(events: DataFrame, size: float, grace: float = 2.0) -> DataFrame:
     """Totals by the event's own window; events that arrive more than ``grace`` seconds
     after their window's end are discarded."""
     own = assign_window(events, size).withColumn("window_id", F.col("event_window_id"))
-    closes = (F.col("window_id") + 1) * size_micros(size) + round(grace * MICROS)
-    return window_totals(own.filter(F.col("arrival_us") < closes), size)
+    return window_totals(own.filter(before_grace(F.col("window_id"), size, grace)), size)

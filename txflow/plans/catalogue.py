@@ -20,7 +20,7 @@ from txflow.schemas import RECORDED_EVENT_SCHEMA
 from txflow.sinks import tables
 from txflow.sinks.scratch import scratch_dir
 from txflow.sources import events as event_source
-from txflow.sources import star, synthetic
+from txflow.sources import star
 from txflow.sources import transactions as transaction_source
 from txflow.streaming import windows as window_stream
 
@@ -57,8 +57,8 @@ def _recorded(spark: SparkSession, path: str) -> DataFrame:
     return event_source.with_clock(event_source.scan_events(spark, path, RECORDED_EVENT_SCHEMA))
 
 
-def _recorded_stream(spark: SparkSession, path: str) -> DataFrame:
-    return event_source.with_clock(event_source.stream_events(spark, path, RECORDED_EVENT_SCHEMA))
+def _recorded_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    return event_source.with_clock(event_source.stream_events(spark, path, RECORDED_EVENT_SCHEMA, files_per_batch))
 
 
 def _one_row(spark: SparkSession, name: str, value: int) -> DataFrame:
@@ -73,7 +73,7 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def repartition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transaction_source.scan_transactions(spark, _csv(spark, sf_dir), partitions=16)
+    return transaction_source.scan_transactions(spark, _csv(spark, sf_dir), partitions=spark.sparkContext.defaultParallelism)
 
 
 def load_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,12 +110,6 @@ def error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_source.line_quality(lines, RECORDED_EVENT_SCHEMA)
 
 
-def synth_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A made-up transaction for every order."""
-    ids = star.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("transaction_id"))
-    return synthetic.synthesize(ids)
-
-
 # --- cleaning ----------------------------------------------------------------
 
 
@@ -237,9 +231,10 @@ def consumer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _window_run(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    source = _jsonl(spark, star.damaged_lines(spark, sf_dir))
+    # Dealt at random over files: most batches bring rows of windows reported before.
+    source = _jsonl(spark, star.damaged_lines(spark, sf_dir).repartition(3))
     out, checkpoint = scratch_dir(spark, "windows"), scratch_dir(spark, "checkpoint")
-    window_stream.run(_recorded_stream(spark, source), out, checkpoint, HOUR)
+    window_stream.run(_recorded_stream(spark, source, files_per_batch=1), out, checkpoint, HOUR)
     return out, checkpoint
 
 
@@ -250,7 +245,7 @@ def stream_window_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_final_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = _window_run(spark, sf_dir)
-    window_stream.flush(spark, out, checkpoint, HOUR)
+    window_stream.flush(spark, out, HOUR)
     return window_stream.read_results(spark, out, flushed=True)
 
 
@@ -321,7 +316,6 @@ def catalogue() -> dict[str, Query]:
         corrupt_split,
         corrupt_count,
         error_rate,
-        synth_transactions,
         clean_dropna,
         clean_fraud_flag,
         clean_transactions,

@@ -81,7 +81,7 @@ _BLANK = (
 )
 _DAMAGED = (
     "event_id % 31 = 1 or event_id % 37 = 2 or event_id % 43 = 3 or event_id % 47 = 4 "
-    "or event_id % 53 = 5 or event_id % 59 = 6"
+    "or event_id % 53 = 5 or event_id % 59 = 6 or event_id % 61 = 7 or event_id % 67 = 8"
 )
 
 
@@ -100,7 +100,7 @@ st as (
   select *, event_window_id < window_id as is_late from (
     select ev.*, (arrival_us - ev.event_us + 5) // 10 as lat, ev.event_us // {us} as event_window_id,
            {window} as window_id
-    from ev, (select min_by(struct_pack(event_id, event_us), arrival_us) as first from ev) {where})
+    from ev, (select min_by(struct_pack(event_id, event_us), (arrival_us, event_id)) as first from ev) {where})
 )"""
 
 
@@ -132,9 +132,9 @@ _RANKED = """ranked as (
 
 def _top(column: str, alias: str) -> str:
     return f"""select window_id, label as {alias} from (
-  select window_id, label, row_number() over (partition by window_id order by n desc, a, e) as r from (
-    select window_id, coalesce({column}, 'Unknown') as label, count(*) as n, min(arrival_us) as a,
-           min(event_id) as e from st group by all)) where r = 1"""
+  select window_id, label, row_number() over (partition by window_id order by n desc, a) as r from (
+    select window_id, coalesce({column}, 'Unknown') as label, count(*) as n,
+           min((arrival_us, event_id)) as a from st group by all)) where r = 1"""
 
 
 def _window_stats(size: int, **stamp: bool) -> str:
@@ -157,27 +157,6 @@ select sum(w.n)::bigint as total_events, count(*) as total_windows, round(avg(w.
 from w, (select {_ranks("overall_latency")} from ranked)"""
 
 
-def _draw(number: int, n: int) -> str:
-    block, slot = divmod(number, 4)
-    digits = f"substr(md5('42:{block}:' || o_orderkey::varchar), {slot*8 + 1}, 8)"
-    return f"((('0x' || {digits})::bigint * {n}) >> 32)"
-
-
-def _pick(values: str, number: int, n: int) -> str:
-    return f"([{values}])[{_draw(number, n)} + 1]"
-
-
-_SYNTH = f"""select transaction_id, user_id, product_category, region, c/100::double as amount, quantity,
-       c*quantity/100::double as total, payment_method, day_of_week, hour_of_day, is_fraud from (
-  select o_orderkey as transaction_id, {_draw(0, 99900)} + 100 as c, ({_draw(1, 20)} + 1)::int as quantity,
-         {_draw(2, 100000)} + 1 as user_id,
-         {_pick("'Electronics', 'Clothing', 'Food', 'Books', 'Toys', 'Sports'", 3, 6)} as product_category,
-         {_pick("'North', 'South', 'East', 'West', 'Central'", 4, 5)} as region,
-         {_pick("'Credit Card', 'Debit Card', 'PayPal', 'Cash', 'Gift Card'", 5, 5)} as payment_method,
-         {_draw(6, 7)}::int as day_of_week, {_draw(7, 24)}::int as hour_of_day,
-         case when {_draw(8, 1000)} < 20 then 'True' else 'False' end as is_fraud
-  from orders)"""
-
 _FIRST_RULES = {
     "clean_dropna": "transaction_id is not null and user_id is not null and amount is not null and total is not null",
     "clean_amount": "amount > 0",
@@ -195,7 +174,7 @@ def oracles() -> dict[str, str]:
     featured = f"with {_FT} select * exclude (cents) from ft"
     events = f"with {_EV} select {_EVENT_COLUMNS} from ev"
     totals = f"{_bounds(3600)}, {_totals(3600)}"
-    closed = "where window_end <= (select max(arrival_us) // 1000 * 1000 from st) / 1e6"
+    closed = "where window_end <= (select max(arrival_us) from st) / 1e6"
     sql = {
         "csv_scan": tx,
         "repartition_scan": tx,
@@ -207,7 +186,6 @@ def oracles() -> dict[str, str]:
             from (select *, {_DAMAGED} as c from ev where not ({_BLANK}))""",
         "corrupt_count": f"with {_EV} {_QUALITY}",
         "error_rate": f"with {_EV} select *, corrupt_lines/lines as error_rate from ({_QUALITY})",
-        "synth_transactions": _SYNTH,
         "clean_fraud_flag": f"with {_TX} select * replace (is_fraud = 'True' as is_fraud) from tx",
         "clean_transactions": f"with {_FT} select * from clean",
         "clean_report": f"""with {_TX} select count(*) as rows_before, count_if({_VALID})::bigint as rows_after,
@@ -249,9 +227,11 @@ def oracles() -> dict[str, str]:
             where arrival_us < (window_id + 1)*3600000000 + 2000000 group by window_id""",
         "stream_event_time_windows": f"""with {_EV} select window_id, count(*) as event_count,
             sum(cents)::bigint/100::double as total_revenue, count_if(is_fraud)::bigint as fraud_count from (
-              select *, event_us // 3600000000 as window_id, max(event_us) over () as latest
+              select *, event_us // 3600000000 as window_id,
+                max(event_us) filter (where arrival_us < (event_us // 3600000000 + 1)*3600000000 + 2000000) over () as latest
               from ev where not ({_DAMAGED}))
-            where (window_id + 1)*3600000000 <= (latest // 1000 - 2000)*1000 group by window_id""",
+            where (window_id + 1)*3600000000 <= (latest // 1000 - 2000)*1000
+              and arrival_us < (window_id + 1)*3600000000 + 2000000 group by window_id""",
         "late_side_output": f"with {_stamped(3600)} select event_id, event_window_id, window_id from st where is_late",
         "dedup_events": events,
         "backlog_depth": f"""with {_EV}, c as (

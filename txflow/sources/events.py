@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txflow.functions.timing import seconds_to_micros
+from txflow.functions.timing import holds_time, seconds_to_micros
 from txflow.schemas import EVENT_SCHEMA
 
 
@@ -20,7 +20,9 @@ def _parsed(line: Column, schema: T.StructType) -> Column:
     """Array with the line's record, empty if the line is corrupt.
 
     The line is parsed inside an outer object that has a field after it, so that a cut
-    line or a line with something behind its object breaks the outer one.
+    line or a line with something behind its object breaks the outer one. A line that closes
+    its object early and opens more fields would add to the outer object's keys, which are
+    checked. A time that cannot be held as 64-bit microseconds makes the line corrupt too.
     """
     outer = T.StructType(
         [
@@ -31,10 +33,15 @@ def _parsed(line: Column, schema: T.StructType) -> Column:
     )
     options = {"columnNameOfCorruptRecord": "bad", "allowSingleQuotes": "false"}
     text = F.concat(F.lit('{"record":'), line, F.lit(',"complete":true}'))
-    kept = F.filter(
-        F.array(F.from_json(text, outer, options)),
-        lambda e: e["bad"].isNull() & e["record"].isNotNull() & F.coalesce(e["complete"], F.lit(False)),
-    )
+    times = [f.name for f in schema.fields if f.name in ("timestamp", "arrival")]
+
+    def whole(e: Column) -> Column:
+        held = e["bad"].isNull() & e["record"].isNotNull() & F.coalesce(e["complete"], F.lit(False))
+        for name in times:
+            held = held & holds_time(e["record"][name])
+        return held & F.coalesce(F.json_object_keys(text) == F.array(F.lit("record"), F.lit("complete")), F.lit(False))
+
+    kept = F.filter(F.array(F.from_json(text, outer, options)), whole)
     return F.transform(kept, lambda e: e["record"])
 
 

@@ -100,7 +100,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The JSON lines with some of them cut, mistyped, doubled or blank."""
+    """The JSON lines with some of them cut, mistyped, doubled, continued or blank."""
     line, event_id = F.col("value"), F.col("event_id")
     return event_lines(spark, sf_dir).select(
         F.when(event_id % 31 == 1, F.substring(line, 1, 25))
@@ -109,6 +109,8 @@ def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(event_id % 47 == 4, F.concat(line, line))
         .when(event_id % 53 == 5, F.lit("   "))
         .when(event_id % 59 == 6, F.regexp_replace(line, '"total":', '"total":true,"was":'))
+        .when(event_id % 61 == 7, F.concat(line, F.lit(',"x":1')))
+        .when(event_id % 67 == 8, F.concat(line, F.lit(',"record":'), line))
         .otherwise(line)
         .alias("value")
     )

@@ -1,90 +1,62 @@
 """Windows of a live stream.
 
-The stream keeps counted cells (see ``operators.windows``) as its state: partly added up
-in every task before the shuffle, spread over all tasks by region, category and latency
-rather than by window, and gone once their window has closed.  A closed window's cells
-are stored, then finished by the same operator as in batch.
-
-Each micro-batch overwrites its own folders, so a batch that runs again after a failure
-leaves no duplicates.
+Each micro-batch is added up to counted cells (see ``operators.windows``), which are stored
+under the batch's number.  Cells of different batches add up, so nothing is ever too late: a
+row for a window that was reported already goes to its cells, and the window is reported again.
+A window is due when the arrival clock has passed its end; only batches that make one due, or
+touch a reported one, finish anything.
+
+Each micro-batch overwrites its own folders, so a batch that runs again after a failure leaves
+no duplicates.  There is no state in memory: what was seen before is read from the cells.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.errors import AnalysisException, SparkRuntimeException
+from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from txflow.functions.money import money_sum
+from txflow.functions.money import PARTS, money_sum
 from txflow.functions.timing import size_micros, window_index
 from txflow.operators.windows import (
-    CELL_KEY,
     RESULT_COLUMNS,
-    cell_measures,
+    before_grace,
     finish_windows,
+    label_cells,
+    latency_cells,
     own_time,
-    spread_cells,
     stamp_events,
 )
+from txflow.schemas import MICROS
 
-CELL_SCHEMA = (
-    "window_id bigint, kind string, label string, latency_us bigint, events bigint, "
-    "total_whole bigint, total_millionths bigint, total_odd double, fraud bigint, late bigint, "
-    "first_us bigint, first_id bigint"
-)
-# The state of the measures, in their order; the state reader names several fields "sum".
-_STATE = (
-    "struct<events:bigint,total_whole:bigint,total_millionths:bigint,total_odd:double,fraud:bigint,late:bigint,"
-    "first_us:bigint,first_id:bigint>"
-)
-_MEASURES = [
-    "events",
-    "total_whole",
-    "total_millionths",
-    "total_odd",
-    "fraud",
-    "late",
-    "first_us",
-    "first_id",
-]
+_MONEY = ", ".join(f"total_{part} {'double' if part == 'odd' else 'bigint'}" for part in PARTS)
+CELLS = {
+    "labels": f"window_id bigint, region string, product_category string, events bigint, {_MONEY}, fraud bigint, "
+    "late bigint, first_seen decimal(38,0), last_us bigint, batch_id bigint",
+    "latencies": "window_id bigint, latency_us bigint, events bigint, batch_id bigint",
+}
 
 
 def with_arrival_ts(events: DataFrame) -> DataFrame:
     return events.withColumn("arrival_ts", F.timestamp_micros("arrival_us"))
 
 
-def arrival_cells(events: DataFrame, size: float, delay: str = "0 seconds") -> DataFrame:
-    """Cells by arrival window.  A live arrival clock never runs back, so with no delay
-    nothing is dropped; recorded arrivals that are out of order over files need one."""
-    stamped = stamp_events(with_arrival_ts(events), size, replay=False).withWatermark("arrival_ts", delay)
-    window = F.window("arrival_ts", f"{size_micros(size)} microseconds")
-    return spread_cells(stamped, ["arrival_ts"]).groupBy(window.alias("window"), *CELL_KEY).agg(*cell_measures())
-
-
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-@contextmanager
-def _state_on_disk(spark: SparkSession) -> Iterator[None]:
-    """Start queries with state in RocksDB, so that open windows need not fit in executor
-    memory.  A provider set by the user stays; a restarted query keeps its own."""
-    if spark.conf.get(_PROVIDER, None) is not None:
-        yield
-        return
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+def _cells(spark: SparkSession, output_path: str, name: str) -> DataFrame:
     try:
-        yield
-    finally:
-        spark.conf.unset(_PROVIDER)
+        return spark.read.schema(CELLS[name]).parquet(f"{output_path}/cells/{name}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], CELLS[name])  # no input yet
 
 
-def _window_id(size: float) -> Column:
-    return window_index(F.unix_micros("window.start"), size).alias("window_id")
+def _closed(seen: int | None, size: float, delay: float) -> Column:
+    """The window ended ``delay`` seconds or more before the last arrival."""
+    if seen is None:
+        return F.lit(False)
+    return (F.col("window_id") + 1) * size_micros(size) <= seen - round(delay * MICROS)
 
 
 def start(
@@ -92,23 +64,44 @@ def start(
     output_path: str,
     checkpoint: str,
     size: float,
-    delay: str = "0 seconds",
+    delay: float = 0.0,
     poll: str | None = None,
 ) -> StreamingQuery:
-    """Start the window stream: everything there is if ``poll`` is None, else for ever."""
+    """Start the window stream: everything there is if ``poll`` is None, else for ever.
+
+    ``delay`` holds reports back by so many seconds of the arrival clock, which saves reporting
+    a window again for each straggler; it drops nothing.
+    """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        # Written and read back rather than cached: two plans use the closed cells.
-        path = f"{output_path}/cells/batch_id={batch_id}"
-        batch.select(_window_id(size), *CELL_KEY, *_MEASURES).write.mode("overwrite").parquet(path)
-        closed = batch.sparkSession.read.schema(CELL_SCHEMA).parquet(path)
-        finish_windows(closed, size).write.mode("overwrite").json(f"{output_path}/results/batch_id={batch_id}")
-
-    writer = arrival_cells(events, size, delay).writeStream.outputMode("append").foreachBatch(store)
-    writer = writer.option("checkpointLocation", checkpoint)
+        spark = batch.sparkSession
+        stamped = stamp_events(batch, size, replay=False).persist(StorageLevel.DISK_ONLY)
+        try:
+            for name, cells in (("labels", label_cells(stamped)), ("latencies", latency_cells(stamped))):
+                cells.write.mode("overwrite").parquet(f"{output_path}/cells/{name}/batch_id={batch_id}")
+        finally:
+            stamped.unpersist()
+        labels = _cells(spark, output_path, "labels").where(F.col("batch_id") <= batch_id)
+        own = F.col("batch_id") == batch_id
+        before, seen, low = labels.agg(
+            F.max(F.when(~own, F.col("last_us"))), F.max("last_us"), F.min(F.when(own, F.col("window_id")))
+        ).first()
+        due = (
+            labels.where(_closed(seen, size, delay) & (own | ~_closed(before, size, delay))).select("window_id").distinct()
+        )
+        if due.isEmpty():
+            return
+        # Bounds on the window let the scan skip the cells of older batches.
+        lowest = due.agg(F.min("window_id")).first()[0]
+        latencies = _cells(spark, output_path, "latencies").where(F.col("batch_id") <= batch_id)
+        whole = [
+            cells.where(F.col("window_id") >= lowest).join(due, "window_id", "left_semi") for cells in (labels, latencies)
+        ]
+        finish_windows(*whole, size).write.mode("overwrite").json(f"{output_path}/results/batch_id={batch_id}")
+
+    writer = events.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if poll is None else {"processingTime": poll}
-    with _state_on_disk(events.sparkSession):
-        return writer.trigger(**trigger).start()
+    return writer.trigger(**trigger).start()
 
 
 def run(
@@ -118,7 +111,7 @@ def run(
     size: float,
     duration: float | None = None,
     poll: str = "100 milliseconds",
-    delay: str = "0 seconds",
+    delay: float = 0.0,
 ) -> None:
     """Run for ``duration`` seconds, or until all input there is has been read."""
     query = start(events, output_path, checkpoint, size, delay, None if duration is None else poll)
@@ -126,25 +119,23 @@ def run(
     query.stop()
 
 
-def flush(spark: SparkSession, output_path: str, checkpoint: str, size: float) -> None:
-    """Report the windows that are still open, from the state of a stopped stream.
+def _last_arrival(labels: DataFrame) -> int | None:
+    return labels.agg(F.max("last_us")).first()[0]
+
 
-    The state stays as it is: when the stream goes on, it reports those windows itself,
-    and ``read_results`` prefers that.  A stream that never had input has nothing open.
+def flush(spark: SparkSession, output_path: str, size: float, delay: float = 0.0) -> None:
+    """Report the windows of a stopped stream that are still open, from their cells.
+
+    When the stream goes on, it reports those windows itself, and ``read_results`` prefers
+    that.  A stream that never had input has nothing open.
     """
-    try:
-        state = spark.read.format("statestore").load(checkpoint)
-    except SparkRuntimeException as error:
-        if error.getCondition() == "STDS_COMMITTED_BATCH_UNAVAILABLE":
-            return
-        raise
-    cells = state.select("key.*", F.col("value").cast(_STATE).alias("value")).select(
-        _window_id(size), *CELL_KEY, "value.*"
-    )
-    path = f"{output_path}/open_cells"
-    cells.write.mode("overwrite").parquet(path)
-    opened = spark.read.schema(CELL_SCHEMA).parquet(path)
-    finish_windows(opened, size).write.mode("overwrite").json(f"{output_path}/open_results")
+    labels, latencies = (_cells(spark, output_path, name) for name in CELLS)
+    seen = _last_arrival(labels)
+    if seen is not None:
+        still = ~_closed(seen, size, delay)
+        finish_windows(labels.where(still), latencies.where(still), size).write.mode("overwrite").json(
+            f"{output_path}/open_results"
+        )
 
 
 _RESULT_SCHEMA = (
@@ -156,38 +147,54 @@ _RESULT_SCHEMA = (
 
 
 def read_results(spark: SparkSession, output_path: str, flushed: bool = False) -> DataFrame:
-    """Reported windows; with ``flushed`` also those reported by ``flush``."""
+    """Reported windows, each as it was reported last; with ``flushed`` also those reported by
+    ``flush``."""
 
     def read(folder: str) -> DataFrame:
+        schema = _RESULT_SCHEMA + ", batch_id bigint"
         try:
-            rows = spark.read.schema(_RESULT_SCHEMA).json(f"{output_path}/{folder}")
+            return spark.read.schema(schema).json(f"{output_path}/{folder}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            rows = spark.createDataFrame([], _RESULT_SCHEMA)  # nothing reported yet
-        return rows.select(*RESULT_COLUMNS)
+            return spark.createDataFrame([], schema)  # nothing reported yet
 
-    closed = read("results")
+    row = F.max_by(F.struct(*RESULT_COLUMNS), "batch_id").alias("row")
+    closed = read("results").groupBy("window_id").agg(row).select("row.*")
     if not flushed:
         return closed
-    return closed.unionByName(read("open_results").join(closed.select("window_id"), "window_id", "left_anti"))
+    opened = read("open_results").select(*RESULT_COLUMNS)
+    return closed.unionByName(opened.join(closed.select("window_id"), "window_id", "left_anti"))
 
 
-def read_cells(spark: SparkSession, output_path: str) -> DataFrame:
-    """Cells of the closed windows, from which overall statistics can be added up."""
-    return spark.read.schema(CELL_SCHEMA).parquet(f"{output_path}/cells")
+def read_cells(spark: SparkSession, output_path: str, size: float, delay: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """Label and latency cells of the closed windows, from which overall statistics can be
+    added up."""
+    labels, latencies = (_cells(spark, output_path, name) for name in CELLS)
+    closed = _closed(_last_arrival(labels), size, delay)
+    return labels.where(closed), latencies.where(closed)
+
+
+def _window_id(size: float) -> Column:
+    return window_index(F.unix_micros("window.start"), size).alias("window_id")
 
 
 # --- other streams -----------------------------------------------------------
 
 
-def event_time_totals(events: DataFrame, size: float, grace: str = "2 seconds") -> DataFrame:
-    """Count and revenue by the events' own windows; a window closes ``grace`` after the
-    latest event time seen, and what comes later is discarded."""
+def event_time_totals(events: DataFrame, size: float, grace: float = 2.0) -> DataFrame:
+    """Count and revenue by the events' own windows.  An event that arrives more than ``grace``
+    seconds after its window's end is discarded, by the same rule as in
+    ``operators.windows.event_time_windows`` and so however batches are cut.
+
+    The watermark then only closes windows: with arrivals in order, and no event ahead of its
+    arrival, it drops none of what is left.
+    """
     window = F.window("event_ts", f"{size_micros(size)} microseconds")
     return (
-        events.withColumn("event_ts", F.timestamp_micros(own_time()))
-        .withWatermark("event_ts", grace)
+        events.filter(before_grace(window_index(own_time(), size), size, grace))
+        .withColumn("event_ts", F.timestamp_micros(own_time()))
+        .withWatermark("event_ts", f"{round(grace * 1000)} milliseconds")
         .groupBy(window.alias("window"))
         .agg(
             F.count(F.lit(1)).alias("event_count"),
@@ -202,6 +209,4 @@ def append_to(rows: DataFrame, path: str, checkpoint: str) -> None:
     """Append all there is to a Parquet table, each row exactly once over any restarts."""
     writer = rows.writeStream.format("parquet").outputMode("append").option("path", path)
     writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    with _state_on_disk(rows.sparkSession):
-        query = writer.start()
-    query.awaitTermination()
+    writer.start().awaitTermination()

@@ -25,7 +25,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove ``stored`` tables that nothing reads any more: what was made of them is written."""
+    for table_ in tables:
+        jvm = table_.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table_.stored_at)
+        path.getFileSystem(table_.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -26,13 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txflow.llm.common import stored, texts_in_bites
+from txflow.llm.common import discard, stored, texts_in_bites
 from txflow.llm.components import components
 from txflow.llm.substrings import _mix, _tools, _word_hashes
 
 WORDS, PERCENT = 5, 80
-#: Counters that rank shingles by rarity: how often shingles occur whose hashes share 16 bits.
-COUNTERS = 1 << 16
+#: Shingles that a task counts together, how often one has to occur among them to be told, and
+#: how many of the most frequent ones rank behind all others, by frequency.
+COUNTED, TOLD, FREQUENT = 1 << 22, 4, 1 << 20
 #: Documents in one tree, and members from which groups of one shingle count as large.
 LEAVES, LARGE, FANOUT = 256, 64, 8
 
@@ -40,20 +41,34 @@ _LOWERED = np.arange(256, dtype=np.uint8)
 _LOWERED[ord("A") : ord("Z") + 1] += 32
 
 
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Distinct hashes of the shingles of a text, sorted; one of all words if they are fewer."""
-    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
-    _, h = _word_hashes(_LOWERED[data])
-    if not len(h):
-        return h
+def shingle_sets(texts: list, words: int = WORDS) -> list[np.ndarray]:
+    """For each text the distinct hashes of its shingles, sorted; one of all words if they are
+    fewer than ``words``. The texts are hashed together."""
+    coded = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b"\n".join(coded) + b"\n", np.uint8)
+    starts, h = _word_hashes(_LOWERED[data])
+    at = np.searchsorted(starts, np.concatenate([[0], np.cumsum([len(c) + 1 for c in coded])])).tolist()
+    whole = _rolled(h, words)
+    out = []
+    for low, high in zip(at, at[1:], strict=False):
+        n = high - low
+        out.append(np.unique(whole[low : high - words + 1]) if n >= words else _rolled(h[low:high], n) if n else h[:0])
+    return out
+
+
+def _rolled(h: np.ndarray, size: int, piece: int = 1 << 18) -> np.ndarray:
+    """Hash of each run of ``size`` words; runs across texts are left to the caller."""
     _, _, _, rolled, _ = _tools()
-    size, piece, found = min(words, len(h)), 1 << 18, []
+    found = [h[:0]]
     for low in range(0, len(h) - size + 1, piece):
         part = h[low : low + piece + size - 1]
         i = np.arange(len(part) - size + 1)
         found.append(rolled.of(rolled.sums(part), i, i + size))
-    whole = _mix(np.concatenate(found) ^ np.uint64(size))
-    return np.unique(whole)
+    return _mix(np.concatenate(found) ^ np.uint64(size))
+
+
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
+    return shingle_sets([text], words)[0]
 
 
 def needed(a: int, b: int, percent: int = PERCENT) -> int:
@@ -177,38 +192,55 @@ class _Sets:
 # --- steps --------------------------------------------------------------------
 
 
-def _rarity(docs: DataFrame, words: int) -> np.ndarray:
-    """Rank of each counter: how many times more often than the mean its shingles occur, in
-    powers of two. A fixed number of counters is collected, whatever the input."""
+def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles, sorted, and the binary logarithm of how often they occur.
+
+    This only orders shingles, and any order is right; so a task tells a shingle only if it
+    occurs ``TOLD`` times among ``COUNTED`` others, and ``FREQUENT`` are kept at most.
+    """
 
     def run(batches):
-        n = np.zeros(COUNTERS, np.int64)
+        held, n = [], 0
         for _, texts in texts_in_bites(batches, "text"):
-            for text in texts:
-                np.add.at(n, (shingles(text, words) >> np.uint64(48)).astype(np.int64), 1)
-        at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], ["counter", "n"])
-
-    rows = docs.select("text").mapInArrow(run, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).collect()
-    n = np.zeros(COUNTERS)
-    for r in rows:
-        n[r.counter] = r.n
-    return np.maximum(0, np.floor(np.log2(np.maximum(n, 1) / max(1.0, n.mean())))).astype(np.uint64)
+            held += shingle_sets(texts, words)
+            n += sum(map(len, held[-len(texts) :]))
+            if n >= COUNTED:
+                yield told(held)
+                held, n = [], 0
+        if held:
+            yield told(held)
+
+    def told(held):
+        found, n = np.unique(np.concatenate(held), return_counts=True)
+        often = n >= TOLD
+        return pa.RecordBatch.from_arrays([pa.array(found[often].view(np.int64)), pa.array(n[often], pa.int64())], ["token", "n"])
+
+    counts = docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    rows = counts.orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
+    token = rows.column("token").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(token)
+    return token[order], np.log2(np.maximum(1, rows.column("n").to_numpy()[order])).astype(np.uint8)
 
 
 def _prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(doc_id, n, set_hash, prefix) of each row: set size, hash of the set, its rarest shingles."""
-    rank = docs.sparkSession.sparkContext.broadcast(_rarity(docs, words))
+    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, words))
 
     def run(batches):
+        known, often = frequent.value
         for part, texts in texts_in_bites(batches, "text"):
             n, hashes, prefixes = [], [], []
-            for text in texts:
-                s = shingles(text, words)
-                order = np.lexsort((s, rank.value[(s >> np.uint64(48)).astype(np.int64)]))
+            for s in shingle_sets(texts, words):
+                keep = len(s) - -(-percent * len(s) // 100) + 1
+                if len(known) and len(s):
+                    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+                    rank = np.where(known[at] == s, often[at], 0)
+                    rarest = s[np.argsort(rank, kind="stable")[:keep]]
+                else:
+                    rarest = s[:keep]
                 n.append(len(s))
                 hashes.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True))
-                prefixes.append(s[order[: len(s) - -(-percent * len(s) // 100) + 1]].view(np.int64))
+                prefixes.append(rarest.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(n, pa.int64()), pa.array(hashes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
                 ["doc_id", "n", "set_hash", "prefix"],
@@ -245,7 +277,7 @@ def _home_links(grouped: DataFrame, words: int, percent: int) -> DataFrame:
         for _, ids, comps, texts in _by_group(batches, 4):
             if len(ids) < 2:
                 continue
-            sets = [shingles(t, words) for t in texts]
+            sets = shingle_sets(list(texts), words)
             known, found = _Sets(list(comps)), []
             sizes = np.array([len(s) for s in sets])
             if len(ids) == 2:
@@ -321,14 +353,16 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     64-bit hashes of their shingles.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = stored(_prefixes(base, words, percent), "prefixes")
+    prefixes = stored(_prefixes(base, words, percent), "prefixes")
+    sets = stored(prefixes.drop("prefix"), "sets")
     whole = sets.where("n > 0 and doc_id is not null")
     # Equal sets: one of them stands for all.
     stands = stored(whole.groupBy("set_hash", "n").agg(F.min("doc_id").alias("doc_id")), "stands")
-    tokens = whole.select("doc_id", F.explode("prefix").alias("token"))
-    twice = tokens.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
+    tokens = prefixes.where("n > 0 and doc_id is not null").select("doc_id", F.explode("prefix").alias("token"))
+    twice = stored(tokens.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token"), "tokens-met")
     met = tokens.join(twice, "token").join(stands.select("doc_id").distinct(), "doc_id", "left_semi").distinct()
     met = stored(met.select("token", "doc_id"), "met")
+    discard(prefixes, twice)
     homes = met.groupBy("doc_id").agg(
         *[F.min(F.struct(F.xxhash64("token", F.lit(r)).alias("h"), "token")).alias(f"home{r}") for r in range(4)]
     )
@@ -337,7 +371,7 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
     def signed(batches):
         for part, texts in texts_in_bites(batches, "text"):
-            own = [shingles(t, words) for t in texts]
+            own = shingle_sets(texts, words)
             bits = [bitmap(s, width_of(len(s))).tobytes() for s in own]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([len(s) for s in own], pa.int64()), pa.array(bits, pa.binary()), part.column(1)],
@@ -444,6 +478,7 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     pairs = stored(_unit_candidates(dealt, percent).distinct(), "candidates")
     last = _verified(pairs, texts.select("doc_id", "text"), words, percent)
     found = stored(components(links.unionByName(last)), "components")
+    discard(texts, met, meets, shared, units, pairs)
     joined = (
         sets.select("doc_id", "n", "set_hash")
         .join(stands.withColumnRenamed("doc_id", "stand"), ["set_hash", "n"], "left")

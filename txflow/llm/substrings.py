@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txflow.llm.common import stored, texts_in_bites
+from txflow.llm.common import discard, stored, texts_in_bites
 
 WINDOW, SEED = 35, 8
 _N_BITS = 6  # a stretch has at most WINDOW - SEED + 1 windows
@@ -63,7 +63,16 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 _PIECE_BYTES, _PIECE_WORDS = 1 << 20, 1 << 18
-_CACHE: dict[str, object] = {}
+
+
+class _Cache(dict):
+    """What a process makes for itself; tasks get it empty."""
+
+    def __reduce__(self):
+        return _Cache, ()
+
+
+_CACHE = _Cache()
 
 
 def _tools():
@@ -221,11 +230,16 @@ def remove_repeats(
         *carry,
     )
     places = stored(_stretches(base, window, seed), "stretches")
-    twice = places.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed")
+    # Counts are written before they are joined back: so a hot anchor's join is one of two plain
+    # shuffles, which Spark splits at run time.
+    twice = stored(places.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed"), "anchors-met")
     met = stored(places.join(twice, "seed"), "met-stretches")
-    kinds = met.groupBy("seed", "words").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "place")).alias("witness"))
-    several = kinds.groupBy("seed").agg(F.count("*").alias("kinds"))
-    kinds = kinds.join(several, "seed").withColumn("whole", F.col("n") > 1).where("whole or kinds > 1")
+    discard(places, twice)
+    by_words = stored(
+        met.groupBy("seed", "words").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "place")).alias("witness")), "kinds"
+    )
+    several = stored(by_words.groupBy("seed").agg(F.count("*").alias("kinds")), "kinds-by-anchor")
+    kinds = stored(by_words.join(several, "seed").withColumn("whole", F.col("n") > 1).where("whole or kinds > 1"), "kinds-met")
     judged = (
         met.join(kinds, ["seed", "words"])
         .withColumn(
@@ -319,12 +333,13 @@ def remove_repeats(
     )
     extended = T.StructType([*extended.fields, *[docs.schema[c] for c in carry]])
     part = stored(joined.mapInArrow(extend, extended), "extended")
+    discard(met, by_words, several, kinds)
     windows = (
         part.where(F.size("starts") > 0)
         .select("doc_id", "tag", F.explode(F.arrays_zip("starts", "h1", "h2")).alias("w"))
         .select("doc_id", "tag", "w.starts", "w.h1", "w.h2")
     )
-    again = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    again = stored(windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "windows-met")
     hits = (
         windows.where("starts >= 0").join(again, ["h1", "h2"]).groupBy("doc_id", "tag").agg(F.collect_list("starts").alias("hits"))
     )

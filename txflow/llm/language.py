@@ -57,7 +57,7 @@ class Model:
     """Cost tables of all languages: ``cost[row, byte, language]`` in bits, where ``row`` is
     the longest context known to any language."""
 
-    def __init__(self, counts: list[tuple[str, int, int]], contexts: int = 30_000):
+    def __init__(self, counts: list[tuple[str, int, int]], contexts: int = 8_000):
         self.langs = sorted({lang for lang, _, _ in counts})
         at = {lang: i for i, lang in enumerate(self.langs)}
         k = len(self.langs)
@@ -69,7 +69,7 @@ class Model:
         np.add.at(seen, (gram & 255, lang), n)
         total, kinds = seen.sum(0), (seen > 0).sum(0)
         share = (seen + kinds / 256) / (total + kinds)
-        rows = [-np.log2(share)[None]]
+        rows = [-np.log2(share)[None].astype(np.float32)]
         row_of: dict[int, np.ndarray] = {}
         parents = np.zeros(1, np.int64)
         self.known: list[np.ndarray] = []
@@ -87,19 +87,21 @@ class Model:
                 g, l, c = gram & 255, lang, n
             seen = np.zeros((len(ids), 256, k), np.float32)
             np.add.at(seen, (inverse, g, l), c)
-            total, kinds = seen.sum(1, keepdims=True), (seen > 0).sum(1, keepdims=True)
+            total, kinds = seen.sum(1, keepdims=True), (seen > 0).sum(1, keepdims=True).astype(np.float32)
             below = rows[-1]
             shorter = self._find(parents, ids & ((1 << (8 * (order - 1))) - 1), order - 1)
             base = below[shorter]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                own = -np.log2(seen / (total + kinds))
-                escape = np.where(total > 0, -np.log2(kinds / np.maximum(total + kinds, 1)), 0)
-            rows.append(np.where(seen > 0, own, escape + base).astype(np.float32))
+            escape = np.where(total > 0, -np.log2(np.maximum(kinds, 1) / np.maximum(total + kinds, 1)), 0).astype(np.float32)
+            cost = base + escape
+            there = seen > 0
+            np.divide(seen, total + kinds, out=seen, where=there)
+            cost[there] = -np.log2(seen[there])
+            rows.append(cost)
             parents = ids
             self.known.append(ids)
             row_of[order] = first + np.arange(len(ids))
             first += len(ids)
-        self.cost = np.concatenate([r.astype(np.float32) for r in rows])
+        self.cost = np.concatenate(rows)
         # Row of the longest known context for each (two bytes, byte before the coded one).
         one = np.zeros(256, np.int32)
         one[self.known[0]] = row_of[1]

@@ -36,9 +36,9 @@ def _sums(texts: DataFrame, keys: list[str]) -> DataFrame:
         texts.select(*keys, F.explode_outer(F.filter(F.split("text", "\n"), has_words)).alias("paragraph"))
         .select(*keys, *[F.xxhash64("paragraph", F.lit(s)).bitwiseAND(_LOW).alias(f"id{s}") for s in SEEDS], words.alias("w"))
         .select(*keys, *ids, F.posexplode_outer(shingles).alias("pos", "s"))
-        .withColumn("h", F.xxhash64("s.w", "s.x", "s.y"))
+        .withColumn("hashed", F.xxhash64("s.w", "s.x", "s.y"))
     )
-    there, h = F.col("pos").isNotNull(), F.col("h")
+    there, h = F.col("pos").isNotNull(), F.col("hashed")
     by_lane = (
         rows.groupBy(*keys, F.when(there, h.bitwiseAND(SIGNS - 1).cast("int")).otherwise(0).alias("lane"))
         .agg(
@@ -92,7 +92,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     return _sums(unique.withColumn("n_chars", F.length("text").cast("long")), ["doc_id", "h", "n_chars"]).drop("h")
 
 
-def edited_fingerprints(docs: DataFrame, buckets: int = 256) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     """Fingerprints of every text and of its edited text.
 
     The edited text has its last third replaced by the first characters of the next document
@@ -105,25 +105,22 @@ def edited_fingerprints(docs: DataFrame, buckets: int = 256) -> DataFrame:
 
     ``buckets`` ranges of ids, cut at approximate quantiles, are ordered one by one; each also
     holds a copy of the next range's first row. So texts are shuffled once and all further
-    steps stay in the bucket's task. ``buckets`` has to grow with the table (some 100 MB each).
+    steps stay in the bucket's task. Without ``buckets`` there are four for each of the session's
+    shuffle partitions, 64 at least; what the driver holds is a cut and a first id of each.
     """
+    buckets = buckets or max(64, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     base = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("order"),
         "doc_id",
         F.coalesce("text", F.lit("")).alias("text"),
     ).withColumn("h", F.xxhash64("text"))
     shares = [i / buckets for i in range(1, buckets)]
-    cuts = base.agg(F.percentile_approx("order", shares, 20_000)).first()[0]
+    cuts = base.agg(F.percentile_approx("order", shares, max(20_000, 20 * buckets))).first()[0]
     cuts = sorted(set(cuts or []), reverse=True)
     # The bucket of an id is the number of cuts above it.
-    bucket = F.lit(0)
-    if cuts:
-        bucket = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c > F.col("order"))) if len(cuts) < 8 else _rank(cuts)
-    base = base.withColumn("bucket", bucket)
+    base = base.withColumn("bucket", _rank(cuts))
     ordered = lambda: F.struct((-F.col("order").cast("decimal(20,0)")).alias("o"), "h")
     heads = base.groupBy("bucket").agg(F.min(ordered()).alias("head")).orderBy("bucket").collect()  # at most ``buckets`` rows
-    if not heads:
-        heads = []
     follow = [
         (heads[i]["bucket"], int(-heads[(i + 1) % len(heads)]["head"]["o"]), heads[(i + 1) % len(heads)]["head"]["h"])
         for i in range(len(heads))
@@ -171,11 +168,16 @@ def edited_fingerprints(docs: DataFrame, buckets: int = 256) -> DataFrame:
 
 def _rank(cuts: list[int]) -> Column:
     """How many of the descending ``cuts`` are above the id, found by halving."""
+    known = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<long>")
+
+    def halve(acc: Column, _: Column) -> Column:
+        mid = F.call_function("div", acc.lo + acc.hi, F.lit(2)).cast("int")
+        above = F.get(known, mid) > F.col("order")
+        open_ = acc.lo < acc.hi
+        return F.struct(
+            F.when(open_ & above, mid + 1).otherwise(acc.lo).alias("lo"),
+            F.when(open_ & ~above, mid).otherwise(acc.hi).alias("hi"),
+        )
 
-    def below(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col("order") < F.lit(cuts[mid]), below(mid + 1, hi)).otherwise(below(lo, mid))
-
-    return below(0, len(cuts))
+    steps = F.sequence(F.lit(0), F.lit(max(1, len(cuts)).bit_length()))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi")), halve, lambda acc: acc.lo)

@@ -260,6 +260,14 @@ def test_chat_round_trip(spark):
     assert chat.format_conversations(none).collect() == []
 
 
+def test_kept_texts_make_no_escape_where_they_meet(spark):
+    texts = ["C:\\dir\\", "and", "[x]\\", "so", "\\", "long", "<\\", "right"]
+    rows = [(1, i, "assistant", t) for i, t in enumerate(texts)]
+    done = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    (row,) = done.withColumn("loss", chat.under_mask(F.col("formatted"), F.col("loss_mask"))).collect()
+    assert row.round_trip and row.loss == "".join(texts)
+
+
 # --- benchmark ------------------------------------------------------------------------
 
 

@@ -107,12 +107,13 @@ def format_conversations(rows: DataFrame) -> DataFrame:
 
 def under_mask(formatted: Column, loss_mask: Column) -> Column:
     """The unescaped text that the mask keeps. The mask's first skip also covers the opening
-    marker less one turn end, as each skip counts the end of the turn before it."""
+    marker less one turn end, as each skip counts the end of the turn before it. Each kept
+    slice is unescaped alone: one that ends in a backslash makes no escape with the next."""
     begin = F.struct(F.lit(len(OPEN) - len("</>")).alias("at"), F.lit("").alias("text"))
     step = lambda acc, m: F.struct(
         (acc.at + m.skip + m.keep).alias("at"),
-        F.when(m.keep > 0, F.concat(acc.text, F.substring(formatted, acc.at + m.skip + 1, m.keep)))
+        F.when(m.keep > 0, F.concat(acc.text, unescape(F.substring(formatted, acc.at + m.skip + 1, m.keep))))
         .otherwise(acc.text)
         .alias("text"),
     )
-    return unescape(F.aggregate(loss_mask, begin, step, lambda acc: acc.text))
+    return F.aggregate(loss_mask, begin, step, lambda acc: acc.text)

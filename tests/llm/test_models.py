@@ -24,6 +24,15 @@ def test_held_out_labels(spark, query, column, least):
     assert sum(r.predicted == known[r.doc_id] for r in judged) >= least * len(judged)
 
 
+@pytest.mark.parametrize(("sf_dir", "least"), [("/root/testdata/sf0.001", 1.0), (SF_DIR, 0.75)])
+def test_held_out_toxic_rows_are_found(spark, sf_dir, least):
+    rows = queries.op4_toxicity(spark, sf_dir).collect()
+    known = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    found = [r.predicted for r in rows if r.held_out and known.get(r.doc_id) == 1]
+    clean = [r.predicted for r in rows if r.held_out and known.get(r.doc_id) == 0]
+    assert found and sum(found) >= least * len(found) and sum(clean) <= 0.05 * len(clean)
+
+
 def test_held_out_languages(spark):
     rows = queries.op6_language_id(spark, SF_DIR).collect()
     known = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}

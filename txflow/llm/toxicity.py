@@ -1,15 +1,17 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are lower-cased words and their beginnings; a bounded vocabulary keeps those that go
-with the label in a bounded labelled sample. The examples' vectors are filed in a block-max
-inverted index: each term's postings are cut into blocks of examples with the largest weight
-of each block, so that blocks which cannot reach the nearest found so far are never read.
+Terms are lower-cased words and their beginnings, all those of a bounded labelled sample. The
+examples' vectors are filed in a block-max inverted index: rare terms have postings, common
+ones are read only for blocks of examples that can still reach the nearest found so far.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
+import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +21,8 @@ from pyspark.sql import types as T
 
 from txflow.llm.common import held_out, stored, texts_in_bites
 
-#: Bounds of the fitted part: labelled rows and terms.
-EXAMPLES, TERMS = 6000, 500
+#: Bound of the fitted part: labelled rows.
+EXAMPLES = 6000
 NEIGHBOURS, BLOCK = 15, 64
 _WORD = re.compile(r"[^\W\d_]+")
 #: Lengths of word beginnings that are terms beside the whole words.
@@ -31,144 +33,200 @@ def _terms(word: str) -> list[str]:
     return [word, *[word[:n] + "-" for n in BEGINNINGS if len(word) > n]]
 
 
-def _associated(sample: DataFrame, terms: int) -> list[str]:
-    """The ``terms`` that most mark label 1: presence in positive against negative texts."""
+def _ids(text: str | None, at: dict[str, int], known: dict[str, tuple[int, ...]]) -> dict[int, int]:
+    """The known terms of a text and how often each occurs; ``known`` keeps words' terms."""
+    found: dict[int, int] = {}
+    if len(known) > 200_000:
+        known.clear()
+    for word, n in Counter(_WORD.findall((text or "").lower())).items():
+        ids = known.get(word)
+        if ids is None:
+            ids = known[word] = tuple(at[t] for t in _terms(word) if t in at)
+        for i in ids:
+            found[i] = found.get(i, 0) + n
+    return found
+
+
+def _vocabulary(sample: DataFrame) -> list[str]:
+    """All terms of the labelled sample."""
 
     def run(batches):
-        found: dict[str, list[int]] = {}
-        rows = [0, 0]
         for part, texts in texts_in_bites(batches, "text"):
-            for text, y in zip(texts, part.column(1).to_pylist(), strict=True):
-                rows[y] += 1
-                for term in {t for w in set(_WORD.findall((text or "").lower())) for t in _terms(w)}:
-                    found.setdefault(term, [0, 0])[y] += 1
-        found[""] = rows
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(found, pa.string()), *[pa.array([v[y] for v in found.values()], pa.int64()) for y in (0, 1)]],
-            ["term", "neg", "pos"],
-        )
-
-    counts = sample.select("text", "y").mapInArrow(run, "term string, neg long, pos long")
-    counts = counts.groupBy("term").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
-    counts = stored(counts, "toxic-terms")
-    whole = counts.where(F.col("term") == "").first()
-    if not whole or not whole.neg or not whole.pos:
-        return []
-    p, q = F.col("pos") / whole.pos, F.col("neg") / whole.neg
-    share = (F.col("pos") + F.col("neg")) / (whole.pos + whole.neg)
-    spread = F.sqrt(share * (1 - share) * (1 / whole.pos + 1 / whole.neg))
-    marked = counts.where((F.col("term") != "") & (F.col("pos") >= 4) & (share < 1)).withColumn("z", (p - q) / spread)
-    top = marked.where("z > 6").orderBy(F.desc("z"), "term").limit(terms)
-    return sorted(r.term for r in top.collect())
-
-
-def _vectors(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """``docs`` without text, with terms and counts of the vocabulary's terms."""
+            found = {t for text in texts for w in set(_WORD.findall((text or "").lower())) for t in _terms(w)}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], ["term"])
+
+    terms = sample.select("text").mapInArrow(run, "term string").distinct()
+    return sorted(terms.toArrow().column(0).to_pylist())
+
+
+def _document_counts(docs: DataFrame, vocabulary) -> tuple[np.ndarray, int]:
+    """How many of ``docs`` have each term of the (broadcast) vocabulary, and their number."""
+
+    def run(batches):
+        at = {t: i for i, t in enumerate(vocabulary.value)}
+        known: dict[str, tuple[int, ...]] = {}
+        # The last count is that of the documents.
+        counts = np.zeros(len(at) + 1, np.int64)
+        for _, texts in texts_in_bites(batches, "text"):
+            for text in texts:
+                counts[list(_ids(text, at, known))] += 1
+            counts[-1] += len(texts)
+        own = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(counts[own], pa.int64())], ["term", "n"])
+
+    counted = docs.select("text").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(len(vocabulary.value) + 1, np.int64)
+    counts[counted["term"].to_numpy()] = counted["n"].to_numpy()
+    return counts[:-1].astype(np.float64), int(counts[-1])
+
+
+def _vectors(docs: DataFrame, vocabulary) -> DataFrame:
+    """``docs`` without text, with terms and counts of the (broadcast) vocabulary's terms."""
     rest = [c for c in docs.columns if c != "text"]
     schema = T.StructType(
         [*docs.select(*rest).schema.fields, *T.StructType.fromDDL("terms array<int>, counts array<int>").fields]
     )
-    at = {t: i for i, t in enumerate(vocabulary)}
 
     def run(batches):
+        at = {t: i for i, t in enumerate(vocabulary.value)}
         known: dict[str, tuple[int, ...]] = {}
         for part, texts in texts_in_bites(batches, "text"):
-            terms, counts = [], []
-            if len(known) > 200_000:
-                known.clear()
-            for text in texts:
-                found: dict[int, int] = {}
-                for word, n in Counter(_WORD.findall((text or "").lower())).items():
-                    ids = known.get(word)
-                    if ids is None:
-                        ids = known[word] = tuple(at[t] for t in _terms(word) if t in at)
-                    for i in ids:
-                        found[i] = found.get(i, 0) + n
-                own = sorted(found)
-                terms.append(own)
-                counts.append([found[i] for i in own])
+            found = [sorted(_ids(text, at, known).items()) for text in texts]
             kept = [part.column(i) for i, c in enumerate(part.schema.names) if c != "text"]
-            kept += [pa.array(terms, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))]
+            kept += [pa.array([[x[k] for x in f] for f in found], pa.list_(pa.int32())) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(kept, names=schema.names)
 
     return docs.select(*rest, "text").mapInArrow(run, schema)
 
 
 class Index:
-    """Unit TF-IDF vectors of the labelled examples as a block-max inverted index."""
+    """Unit TF-IDF vectors of the labelled examples as a block-max inverted index.
+
+    Terms in few examples have postings. Those in more than an eighth of them weigh little:
+    they are columns, read only for blocks of examples that can reach the nearest so far by
+    the largest length of that part of their vectors.
+    """
 
     def __init__(self, rows: list, df: np.ndarray, n: int, terms: int, block: int = BLOCK):
+        self.made_of = (rows, df, n, terms, block)
         self.idf = np.log((1 + n) / (1 + df)) + 1e-3
         self.prior = (sum(r.y for r in rows) + 0.5) / (len(rows) + 1)
-        bare = [r.y for r in rows if not r.terms]
+        bare = [r.y for r in rows if not len(r.terms)]
         #: For texts without a term of the vocabulary: what such examples are.
         self.bare = (sum(bare) + self.prior) / (len(bare) + 1)
-        rows = [r for r in rows if r.terms]
+        rows = [r for r in rows if len(r.terms)]
         weighed = [(*self.weigh(r.terms, r.counts), r) for r in rows]
         # Examples with the same heaviest term share blocks, which keeps block maxima apart.
         weighed.sort(key=lambda x: (int(x[0][np.argmax(x[1])]), -float(x[1].max()), x[2].doc_id))
-        self.ids = [x[2].doc_id for x in weighed]
+        self.ids = np.array([x[2].doc_id for x in weighed], np.int64)
         self.y = np.array([x[2].y for x in weighed], np.float64)
-        self.blocks = -(-len(weighed) // block) if weighed else 0
         self.block = block
-        self.highest = np.zeros((terms, self.blocks))
-        postings: list[dict[int, list[tuple[int, float]]]] = [{} for _ in range(terms)]
-        for i, (t, w, _) in enumerate(weighed):
-            for term, weight in zip(t.tolist(), w.tolist(), strict=True):
-                postings[term].setdefault(i // block, []).append((i % block, weight))
-                self.highest[term, i // block] = max(self.highest[term, i // block], weight)
-        self.postings = [
-            {b: (np.array([i for i, _ in p]), np.array([w for _, w in p])) for b, p in own.items()} for own in postings
-        ]
+        self.starts = np.arange(0, len(weighed), block)
+        if not weighed:
+            return
+        term = np.concatenate([x[0] for x in weighed]).astype(np.int32)
+        weight = np.concatenate([x[1] for x in weighed])
+        example = np.repeat(np.arange(len(weighed), dtype=np.int32), [len(x[0]) for x in weighed])
+        common = np.flatnonzero(np.bincount(term, minlength=terms) > len(weighed) / 8)
+        #: Column of each common term, -1 for others.
+        self.column = np.full(terms, -1, np.int32)
+        self.column[common] = np.arange(len(common))
+        heavy = self.column[term] >= 0
+        self.columns = np.zeros((len(weighed), len(common)))
+        self.columns[example[heavy], self.column[term[heavy]]] = weight[heavy]
+        self.rest = np.sqrt((self.columns**2).sum(1))
+        self.longest = np.maximum.reduceat(self.rest, self.starts)
+        term, weight, example = term[~heavy], weight[~heavy], example[~heavy]
+        order = np.argsort(term, kind="stable")
+        self.examples, self.weights = example[order], weight[order]
+        self.first = np.searchsorted(term[order], np.arange(terms + 1))
+
+    def __reduce__(self):
+        """Executors get the packed counts and build the index from them."""
+        rows, df, n, terms, block = self.made_of
+        lists = [np.concatenate([np.zeros(0, np.int32), *[getattr(r, k) for r in rows]]) for k in ("terms", "counts")]
+        sizes = np.array([len(r.terms) for r in rows], np.int64)
+        packed = zlib.compress(pickle.dumps(([(r.doc_id, r.y) for r in rows], sizes, np.diff(lists[0], prepend=0), lists[1], df)), 1)
+        return _unpacked, (packed, n, terms, block)
 
     def weigh(self, terms, counts) -> tuple[np.ndarray, np.ndarray]:
         t = np.asarray(terms, np.int64)
         w = (1 + np.log(np.asarray(counts, np.float64))) * self.idf[t]
         return t, w / np.sqrt(w @ w)
 
-    def nearest(self, terms, counts, k: int = NEIGHBOURS) -> list[tuple[float, int]]:
-        """The ``k`` examples of highest cosine, exactly, best first; equal ones by position."""
+    def nearest(self, terms, counts, k: int = NEIGHBOURS, but=None) -> list[tuple[float, int]]:
+        """The ``k`` examples of highest cosine, exactly, best first; equal ones by position.
+        Examples with the id ``but`` are left out."""
         t, w = self.weigh(terms, counts)
-        bound = w @ self.highest[t]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(best) == k and bound[b] < -best[-1][0] - 1e-12:
-                break
-            sums = np.zeros(self.block)
-            for term, weight in zip(t.tolist(), w.tolist(), strict=True):
-                own = self.postings[term].get(b)
-                if own is not None:
-                    sums[own[0]] += weight * own[1]
-            at = np.flatnonzero(sums > 0)
-            best = sorted(best + [(-round(float(sums[i]), 12), b * self.block + int(i)) for i in at])[:k]
-        return [(-s, i) for s, i in best]
-
-    def vote(self, terms, counts) -> tuple[float, list[tuple[int, float]]]:
-        """Score and evidence (ids and cosines of the three nearest examples)."""
-        if not self.blocks or not terms:
+        column = self.column[t]
+        rare = column < 0
+        first, n = self.first[t[rare]], self.first[t[rare] + 1] - self.first[t[rare]]
+        at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+        sums = np.bincount(self.examples[at], self.weights[at] * np.repeat(w[rare], n), len(self.y))
+        if but is not None:
+            sums[self.ids == but] = -2.0
+        column, w = column[~rare], w[~rare]
+        rest = np.sqrt(w @ w)
+        # So much the k-th best has at least; what the common terms add is at most a product of lengths.
+        least = np.partition(sums, -k)[-k] if len(sums) > k else 0.0
+        blocks = np.maximum.reduceat(sums, self.starts) + rest * self.longest >= max(least, 0.0) - 1e-9
+        open_ = np.flatnonzero(np.repeat(blocks, self.block)[: len(sums)])
+        open_ = open_[sums[open_] + rest * self.rest[open_] >= max(least, 0.0) - 1e-9]
+        full = sums[open_] + self.columns[open_[:, None], column] @ w
+        full = np.round(full, 12)
+        best = np.lexsort((open_, -full))[:k]
+        return [(float(full[i]), int(open_[i])) for i in best if full[i] > 0]
+
+    def vote(self, terms, counts, but=None) -> tuple[float, list[tuple[int, float]]]:
+        """Vote and evidence (ids and cosines of the three nearest examples)."""
+        if not len(self.y) or not len(terms):
             return self.bare, []
-        near = self.nearest(terms, counts)
+        near = self.nearest(terms, counts, but=but)
         if not near:
             return self.prior, []
         # Weights fall with the distance 1 - cosine; the prior counts as a tenth of a full vote.
         weight = np.array([1 / (0.05 + 1 - min(1.0, s)) for s, _ in near])
         y = self.y[[i for _, i in near]]
         score = (weight @ y + 2 * self.prior) / (weight.sum() + 2)
-        return float(min(1.0, max(0.0, score))), [(self.ids[i], s) for s, i in near[:3]]
+        return float(min(1.0, max(0.0, score))), [(int(self.ids[i]), s) for s, i in near[:3]]
+
+
+def _unpacked(packed: bytes, n: int, terms: int, block: int) -> Index:
+    labelled, sizes, steps, counts, df = pickle.loads(zlib.decompress(packed))
+    cuts = np.cumsum(sizes)[:-1]
+    lists = zip(labelled, np.split(np.cumsum(steps), cuts), np.split(counts, cuts), strict=True) if labelled else ()
+    return Index([SimpleNamespace(doc_id=i, y=y, terms=t, counts=c) for (i, y), t, c in lists], df, n, terms, block)
+
+
+def least_vote(votes: np.ndarray, y: np.ndarray) -> float:
+    """The vote from which on a text counts as labelled 1: it best parts examples judged by
+    the others (highest harmonic mean of precision and recall), half-way to the next lower."""
+    if not 0 < y.sum() < len(y):
+        return 0.5
+    order = np.argsort(-votes, kind="stable")
+    v, hits = votes[order], np.cumsum(y[order])
+    last = np.flatnonzero(np.append(v[1:] < v[:-1], True))
+    best = last[np.argmax(2 * hits[last] / (last + 1 + y.sum()))]
+    return float((v[best] + v[best + 1]) / 2 if best + 1 < len(v) else v[best])
+
+
+def moved(vote: float, least: float) -> float:
+    """The vote as a score: ``least`` becomes 0.5; order and ends stay."""
+    up, down = vote * (1 - least), (1 - vote) * least
+    return up / (up + down) if up + down > 0 else 0.5
 
 
-def score_documents(
-    docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int = EXAMPLES, terms: int = TERMS
-) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int = EXAMPLES) -> DataFrame:
     """doc_id, score and evidence (ids and cosines of labelled examples) of each row of
     ``docs`` (doc_id, text; other columns ignored).
 
-    At most ``examples`` labelled rows that are not held out are learnt from; document counts
-    cover all documents. Null and empty texts, and texts without a term of the vocabulary,
-    score what such examples do; without labelled rows all score 0.5. Repeated rows stay.
-    The texts are read once for the vocabulary's terms; all else runs on those few numbers.
+    At most ``examples`` labelled rows that are not held out are learnt from, by all of their
+    terms; document counts cover all documents. Label 1 is rare, so scores are set by the
+    examples' own votes on each other: 0.5 is where these part best. Null and empty texts, and
+    texts without a term of the examples, score what such examples do; without labelled rows
+    all score 0.5. Repeated rows stay. The texts are read once to count and once to score.
     """
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     chosen = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
@@ -177,34 +235,40 @@ def score_documents(
         .limit(examples)
     )
     base = docs.select("doc_id", "text")
-    vocabulary = _associated(base.join(F.broadcast(chosen), "doc_id"), terms)
-    vectors = stored(_vectors(base, vocabulary), "toxic-vectors")
-    counted = vectors.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()
-    df = np.zeros(len(vocabulary))
-    for r in counted:
-        df[r.term] = r.n
-    rows = vectors.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "terms", "counts").collect()
-    shared = spark.sparkContext.broadcast(Index(rows, df, vectors.count(), len(vocabulary)))
+    sample = stored(base.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text"), "toxic-sample")
+    vocabulary = context.broadcast(_vocabulary(sample))
+    df, n = _document_counts(base, vocabulary)
+    vectors = stored(_vectors(sample, vocabulary), "toxic-vectors")
+    found = vectors.toArrow()
+    lists = [[x.values.to_numpy() for x in found[c]] for c in ("terms", "counts")]
+    rows = [SimpleNamespace(doc_id=i, y=y, terms=t, counts=c) for i, y, t, c in zip(
+        found["doc_id"].to_pylist(), found["y"].to_pylist(), *lists, strict=True)]
+    shared = context.broadcast(Index(rows, df, n, len(df)))
+
+    def judge(batches):
+        for part in batches:
+            votes = [shared.value.vote(t.values.to_numpy(), c.values.to_numpy(), i.as_py())[0] for i, t, c in zip(
+                part.column(0), part.column(2), part.column(3), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), part.column(1)], ["vote", "y"])
+
+    judged = vectors.select("doc_id", "y", "terms", "counts").mapInArrow(judge, "vote double, y int").toArrow()
+    least = least_vote(judged["vote"].to_numpy(), judged["y"].to_numpy())
     schema = T.StructType(
         [docs.schema["doc_id"], *T.StructType.fromDDL("score double, evidence array<struct<doc_id:long,cosine:double>>").fields]
     )
 
     def run(batches):
         index = shared.value
-        known: dict[tuple, tuple] = {}
-        for part in batches:
+        at = {t: i for i, t in enumerate(vocabulary.value)}
+        known: dict[str, tuple[int, ...]] = {}
+        for part, texts in texts_in_bites(batches, "text"):
             out = []
-            for t, c in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
-                key = (*t, *c)
-                if key not in known:
-                    if len(known) > 50_000:
-                        known.clear()
-                    known[key] = index.vote(t, c)
-                out.append(known[key])
+            for text in texts:
+                own = sorted(_ids(text, at, known).items())
+                out.append(index.vote([t for t, _ in own], [c for _, c in own]))
             evidence = [[{"doc_id": i, "cosine": s} for i, s in e] for _, e in out]
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([s for s, _ in out], pa.float64()), pa.array(evidence, kind)], names=schema.names
-            )
+            scores = pa.array([moved(v, least) for v, _ in out], pa.float64())
+            yield pa.RecordBatch.from_arrays([part.column(0), scores, pa.array(evidence, kind)], names=schema.names)
 
-    return vectors.select("doc_id", "terms", "counts").mapInArrow(run, schema)
+    return base.mapInArrow(run, schema)

@@ -100,6 +100,20 @@ def test_code_lengths_equal_the_recursive_rule():
     assert np.allclose(model.bits(text * 50, piece=7), model.bits(text * 50), rtol=1e-5)
 
 
+def test_no_context_is_cut():
+    rng = np.random.default_rng(3)
+    last, context = language._codes(bytes(rng.integers(60, 100, 60_000, dtype=np.uint8)))
+    grams, n = np.unique((context << 8) | last, return_counts=True)
+    model = language.Model([("x", int(g), int(c)) for g, c in zip(grams, n, strict=True)])
+    ids, own = np.unique(grams >> 8, return_inverse=True)
+    assert len(ids) > 30_000
+    want = -np.log2(n / (np.bincount(own, n) + np.bincount(own))[own])
+    assert np.allclose(model._costs(grams, language.ORDER)[:, 0], want, rtol=1e-5)
+    data = bytes(rng.integers(60, 100, 500, dtype=np.uint8))
+    whole = np.concatenate([model.bits(data, piece=7), model.bits(data)])
+    assert np.allclose(whole, whole[0])
+
+
 def test_block_max_index_finds_the_exact_neighbours(spark):
     rng = np.random.default_rng(2)
 

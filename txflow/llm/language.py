@@ -54,10 +54,11 @@ def _grams(docs: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Cost tables of all languages: ``cost[row, byte, language]`` in bits, where ``row`` is
-    the longest context known to any language."""
+    """Sparse costs in bits of all languages, by order. Each byte that any language has seen
+    after a context has one row with its whole cost in each language; each context has one row
+    with the languages' escape costs, for bytes that none has seen there. Nothing is cut."""
 
-    def __init__(self, counts: list[tuple[str, int, int]], contexts: int = 8_000):
+    def __init__(self, counts: list[tuple[str, int, int]]):
         self.langs = sorted({lang for lang, _, _ in counts})
         at = {lang: i for i, lang in enumerate(self.langs)}
         k = len(self.langs)
@@ -68,61 +69,38 @@ class Model:
         seen = np.zeros((256, k))
         np.add.at(seen, (gram & 255, lang), n)
         total, kinds = seen.sum(0), (seen > 0).sum(0)
-        share = (seen + kinds / 256) / (total + kinds)
-        rows = [-np.log2(share)[None].astype(np.float32)]
-        row_of: dict[int, np.ndarray] = {}
-        parents = np.zeros(1, np.int64)
-        self.known: list[np.ndarray] = []
-        first = 1
+        self.base = -np.log2((seen + kinds / 256) / (total + kinds))
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         for order in range(1, ORDER + 1):
-            context = (gram >> 8) & ((1 << (8 * order)) - 1)
-            ids, inverse = np.unique(context, return_inverse=True)
-            if len(ids) > contexts:  # the most frequent ones
-                weight = np.bincount(inverse, n)
-                ids = np.sort(ids[np.argsort(-weight, kind="stable")[:contexts]])
-                inside = np.isin(context, ids)
-                inverse = np.searchsorted(ids, context[inside])
-                g, l, c = gram[inside] & 255, lang[inside], n[inside]
-            else:
-                g, l, c = gram & 255, lang, n
-            seen = np.zeros((len(ids), 256, k), np.float32)
-            np.add.at(seen, (inverse, g, l), c)
-            total, kinds = seen.sum(1, keepdims=True), (seen > 0).sum(1, keepdims=True).astype(np.float32)
-            below = rows[-1]
-            shorter = self._find(parents, ids & ((1 << (8 * (order - 1))) - 1), order - 1)
-            base = below[shorter]
-            escape = np.where(total > 0, -np.log2(np.maximum(kinds, 1) / np.maximum(total + kinds, 1)), 0).astype(np.float32)
-            cost = base + escape
+            grams, inverse = np.unique(gram & ((1 << (8 * order + 8)) - 1), return_inverse=True)
+            seen = np.zeros((len(grams), k))
+            np.add.at(seen, (inverse, lang), n)
+            contexts, own = np.unique(grams >> 8, return_inverse=True)
+            total, kinds = np.zeros((2, len(contexts), k))
+            np.add.at(total, own, seen)
+            np.add.at(kinds, own, seen > 0)
+            escape = np.where(total > 0, -np.log2(np.maximum(kinds, 1) / np.maximum(total + kinds, 1)), 0)
+            cost = self._costs(grams, order - 1) + escape[own]
             there = seen > 0
-            np.divide(seen, total + kinds, out=seen, where=there)
-            cost[there] = -np.log2(seen[there])
-            rows.append(cost)
-            parents = ids
-            self.known.append(ids)
-            row_of[order] = first + np.arange(len(ids))
-            first += len(ids)
-        self.cost = np.concatenate(rows)
-        # Row of the longest known context for each (two bytes, byte before the coded one).
-        one = np.zeros(256, np.int32)
-        one[self.known[0]] = row_of[1]
-        two = np.tile(one, 256)
-        two[self.known[1]] = row_of[2]
-        self.pair = np.zeros(65536, np.int32)
-        pairs = np.unique(self.known[2] >> 8)
-        self.pair[pairs] = np.arange(1, len(pairs) + 1)
-        self.deep = np.zeros((len(pairs) + 1, 256), np.int32)
-        self.deep[0] = -1
-        for i, p in enumerate(pairs):
-            self.deep[i + 1] = two[((p & 255) << 8) | np.arange(256)]
-        self.deep[self.pair[self.known[2] >> 8], self.known[2] & 255] = row_of[3]
-        self.two = two
-
-    @staticmethod
-    def _find(ids: np.ndarray, wanted: np.ndarray, order: int) -> np.ndarray:
-        """Positions of shorter contexts; every suffix of a known context is known."""
-        if order == 0:
-            return np.zeros(len(wanted), np.int64)
-        return np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
+            cost[there] = -np.log2(seen[there] / (total + kinds)[own][there])
+            self.levels.append((grams, cost.astype(np.float32), contexts, escape.astype(np.float32)))
+
+    def _costs(self, grams: np.ndarray, order: int) -> np.ndarray:
+        """Cost of each gram's last byte after the ``order`` bytes before it, by language."""
+        out = np.zeros((len(grams), len(self.langs)))
+        left = np.arange(len(grams))
+        for o in range(order, 0, -1):
+            known, cost, contexts, escape = self.levels[o - 1]
+            own = grams[left] & ((1 << (8 * o + 8)) - 1)
+            at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+            hit = known[at] == own
+            out[left[hit]] += cost[at[hit]]
+            left, own = left[~hit], own[~hit] >> 8
+            at = np.minimum(np.searchsorted(contexts, own), len(contexts) - 1)
+            hit = contexts[at] == own
+            out[left[hit]] += escape[at[hit]]
+        out[left] += self.base[grams[left] & 255]
+        return out
 
     def bits(self, data: bytes, piece: int = 1 << 18) -> np.ndarray:
         """Code length of a text in each language."""
@@ -130,11 +108,7 @@ class Model:
         for start in range(0, len(data), piece):
             last, context = _codes(data[max(0, start - 3) : start + piece])
             skip = min(start, 3)
-            last, context = last[skip:], context[skip:]
-            pair = self.pair[context >> 8]
-            row = self.deep[pair, context & 255]
-            row = np.where(row < 0, self.two[context & 65535], row)
-            total += self.cost[row, last].sum(0, dtype=np.float64)
+            total += self._costs((context[skip:] << 8) | last[skip:], ORDER).sum(0)
         return total
 
 

@@ -2,9 +2,10 @@
 
 A classifier learnt from the label table gives each document the posterior of each domain, so
 a document counts for several domains in part. Nonnegative rates (expected copies) near one
-are fitted so that the expected tokens of each domain meet their targets: projected gradient
-least squares, where each pass sums gradient and curvature over all documents and only vectors
-and matrices of the number of domains reach the driver.
+are fitted so that the expected tokens of each domain meet their targets: least squares, solved
+through its dual by damped Newton steps on one multiplier per domain. Each pass sums gradient
+and curvature over all documents; only vectors and matrices of the number of domains reach the
+driver.
 """
 
 from __future__ import annotations
@@ -146,7 +147,7 @@ def fit_rates(parts: DataFrame, shares: list[float], pull: float = PULL, passes:
     expected domain shares to ``shares`` plus ``pull`` / 2 times the token-weighted squared
     distance of the rates to one, over rates of at least zero. Each pass projects every rate,
     sums the domains' gradient and the curvature of the documents with positive rates, and
-    takes a scaled step, halved until it gains.
+    takes a Newton step on the multipliers, halved until it gains.
     """
     k = len(shares)
     total = parts.agg(F.sum("n_tokens")).first()[0] or 0

@@ -97,5 +97,60 @@ from d left join kept using (k) left join removed using (k)
 SUBSTRING_DEDUP = f"select doc_id, n_words, n_removed, sha256(kept) as kept_sha256 from ({substring_dedup()})"
 
 
+#: For each byte what eight steps of the reversed polynomial make of it.
+_CRC_TABLE = """
+crc_table as (
+  select list(list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda c, step: xor(c >> 1, 3988292384 * (c & 1)), i) order by i) as crc_of
+  from (select unnest(range(0, 256))::bigint as i)
+)"""
+
+
+def _crc32(text: str) -> str:
+    h = f"hex(encode({text}))"
+    return f"""xor(4294967295, list_reduce(
+  list_transform(range(0, len({h}) // 2), lambda i: ('0x' || substr({h}, 2 * i + 1, 2))::bigint),
+  lambda c, b: xor(c >> 8, crc_of[(xor(c, b) & 255) + 1]), 4294967295::bigint))"""
+
+
+RESAMPLING = f"""
+with {_CRC_TABLE},
+w as (
+  select 'd' as side, row_number() over () as k, doc_id, {benchmark_words('text')} as w from documents
+  union all select 'b', row_number() over (), null, {benchmark_words('text')} from benchmark
+),
+f as (
+  select side, k, doc_id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as feature from w
+),
+b as (select feature, {_crc32('feature')} % 10000 as bucket from (select distinct feature from f), crc_table),
+counted as (
+  select bucket, count(*) filter (where side = 'd') as s, count(*) filter (where side = 'b') as t
+  from f join b using (feature) group by bucket
+),
+gains as (
+  select bucket, floor(1000 * ln((t + 1)::double * (sum(s) over () + 10000)::double
+                                 / ((s + 1)::double * (sum(t) over () + 10000)::double)))::bigint as gain
+  from counted
+),
+weights as (
+  select k, count(*) as n_features, floor(sum(gain)::bigint / count(*))::bigint as weight
+  from f join b using (feature) join gains using (bucket) where side = 'd' group by k
+),
+scored as (
+  select w.doc_id, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight, len(w) >= 20 as fit,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('7:' || w.doc_id)[1:8])::bigint + 0.5::double) / 4294967296)))::bigint as score
+  from w left join weights using (k) where side = 'd'
+),
+ranked as (
+  select *, row_number() over (partition by fit order by score desc, doc_id) as r, count(*) over (partition by fit) as n from scored
+)
+select doc_id, n_features, weight, score, case when fit and r <= 25 * n // 100 then r end as rank from ranked
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op2_substring_dedup": SUBSTRING_DEDUP, "op7_chat_formatting": CHAT, "op9_decontamination": DECONTAMINATION}
+    return {
+        "op2_substring_dedup": SUBSTRING_DEDUP,
+        "op7_chat_formatting": CHAT,
+        "op9_decontamination": DECONTAMINATION,
+        "op11_importance_resampling": RESAMPLING,
+    }

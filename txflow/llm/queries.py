@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txflow.llm import chat, decontamination, extraction, fingerprints, jaccard, language, mixing, quality, substrings, toxicity
+from txflow.llm import chat, decontamination, extraction, fingerprints, jaccard, language, mixing, quality, resampling, substrings, toxicity
 from txflow.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +116,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -130,5 +134,6 @@ def queries() -> dict[str, Query]:
             op8_mixing,
             op9_decontamination,
             op10_quality,
+            op11_importance_resampling,
         )
     }

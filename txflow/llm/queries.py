@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txflow.llm import chat, decontamination, extraction, fingerprints, jaccard, language, mixing, quality, resampling, substrings, toxicity
-from txflow.llm.common import held_out, table
+from txflow.llm import chat, decontamination, extraction, fingerprints, jaccard, language, mixing, periodicity, quality, resampling, substrings, toxicity
+from txflow.llm.common import SPACES, held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,6 +120,32 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth document, by its id's checksum, is given a periodic tail first; one without an id is not."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", SPACES, -1), lambda w: w != "")
+    marked = docs.withColumn("g", F.when(h % 10 == 0, F.floor(h / 10))).withColumn("w", F.when(F.col("g").isNotNull(), words))
+    n, a = F.size("w"), F.col("a")
+    marked = marked.withColumn("a", F.when(n > 0, F.pmod("g", n)).cast("int"))
+    p = (1 + F.floor((n - a) / (3 + F.col("g") % 8))).cast("int")
+    again = F.flatten(F.array_repeat(F.slice("w", a + 1, p), F.ceil((n - a) / p).cast("int")))
+    tailed = F.array_join(F.concat(F.slice("w", F.lit(1), a), F.slice(again, F.lit(1), n - a)), " ")
+    found = periodicity.find_runs(marked.select("doc_id", F.when(a.isNotNull(), tailed).otherwise(F.col("text")).alias("text")))
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r.length).alias("less"), r.start.alias("start"), r.period.alias("period"))))
+    told = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(-1000 * F.col("best.less") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(told.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -135,5 +161,6 @@ def queries() -> dict[str, Query]:
             op9_decontamination,
             op10_quality,
             op11_importance_resampling,
+            op12_periodic_runs,
         )
     }

@@ -20,7 +20,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_each_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == [*range(1, 13)]
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == [*range(1, 14)]
 
 
 def test_native_queries_run_no_python(spark):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txflow.llm import chat, decontamination, extraction, fingerprints, jaccard, language, mixing, periodicity, quality, resampling, substrings, toxicity
+from txflow.llm import chat, decontamination, extraction, fingerprints, jaccard, language, mixing, periodicity, quality, resampling, substrings, suffixes, toxicity
 from txflow.llm.common import SPACES, held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,6 +146,17 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s.end - s.start)
+    return suffixes.remove_later_copies(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -162,5 +173,6 @@ def queries() -> dict[str, Query]:
             op10_quality,
             op11_importance_resampling,
             op12_periodic_runs,
+            op13_suffix_array_dedup,
         )
     }

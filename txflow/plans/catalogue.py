@@ -95,6 +95,15 @@ def stream_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def tail_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as ``stream_jsonl`` has them, from the source for files that grow."""
+    source = _jsonl(spark, star.damaged_lines(spark, sf_dir))
+    out, checkpoint = scratch_dir(spark, "events"), scratch_dir(spark, "checkpoint")
+    events = event_source.with_clock(event_source.tail_events(spark, source, RECORDED_EVENT_SCHEMA))
+    window_stream.append_to(events, out, checkpoint)
+    return spark.read.parquet(out)
+
+
 def corrupt_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = event_source.scan_lines(spark, _jsonl(spark, star.damaged_lines(spark, sf_dir)))
     sides = event_source.split_lines(lines, RECORDED_EVENT_SCHEMA)
@@ -313,6 +322,7 @@ def catalogue() -> dict[str, Query]:
         load_row_count,
         jsonl_scan,
         stream_jsonl,
+        tail_jsonl,
         corrupt_split,
         corrupt_count,
         error_rate,

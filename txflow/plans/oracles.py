@@ -181,6 +181,7 @@ def oracles() -> dict[str, str]:
         "load_row_count": f"with {_TX} select count(*) as row_count from tx",
         "jsonl_scan": events,
         "stream_jsonl": f"{events} where not ({_DAMAGED})",
+        "tail_jsonl": f"{events} where not ({_DAMAGED})",
         "corrupt_split": f"""with {_EV} select c as is_corrupt, case when not c then event_id end as event_id,
             case when not c then region end as region, case when not c then total end as total
             from (select *, {_DAMAGED} as c from ev where not ({_BLANK}))""",

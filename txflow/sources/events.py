@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from txflow.functions.timing import holds_time, seconds_to_micros
 from txflow.schemas import EVENT_SCHEMA
+from txflow.sources.growing import RANGE_BYTES, GrowingLines
 
 
 def _parsed(line: Column, schema: T.StructType) -> Column:
@@ -57,6 +58,12 @@ def stream_lines(spark: SparkSession, path: str, files_per_batch: int | None = N
     return _nonblank(reader.text(path))
 
 
+def tail_lines(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Lines as they are appended to a file, or to the files of a directory."""
+    spark.dataSource.register(GrowingLines)
+    return _nonblank(spark.readStream.format("growing_lines").option("rangeBytes", range_bytes).load(path))
+
+
 def _nonblank(lines: DataFrame) -> DataFrame:
     return lines.filter(F.col("value").rlike(r"\S"))
 
@@ -109,6 +116,13 @@ def stream_events(
     return parse_events(stream_lines(spark, path, files_per_batch), schema)
 
 
+def tail_events(
+    spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA, range_bytes: int = RANGE_BYTES
+) -> DataFrame:
+    """Events as they are appended to a file, or to the files of a directory."""
+    return parse_events(tail_lines(spark, path, range_bytes), schema)
+
+
 def with_clock(events: DataFrame) -> DataFrame:
     """Replace ``timestamp`` and ``arrival`` by ``event_us`` and ``arrival_us``.
 

@@ -154,6 +154,23 @@ def latency_cells(stamped: DataFrame) -> DataFrame:
     return rounded.groupBy("window_id", "latency_us").agg(F.count(F.lit(1)).alias("events"))
 
 
+def merge_label_cells(labels: DataFrame) -> DataFrame:
+    """Cells stored in several parts as one each."""
+    return labels.groupBy("window_id", *LABEL_KEY).agg(
+        F.sum("events").alias("events"),
+        *aliased_parts(sum_parts(parts_of("total")), "total"),
+        F.sum("fraud").alias("fraud"),
+        F.sum("late").alias("late"),
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_us").alias("last_us"),
+    )
+
+
+def merge_latency_cells(latencies: DataFrame) -> DataFrame:
+    """Cells stored in several parts as one each."""
+    return latencies.groupBy("window_id", "latency_us").agg(F.sum("events").alias("events"))
+
+
 def cell_totals(labels: DataFrame, size: float) -> DataFrame:
     """Per window: counts, revenue, fraud, lateness, top region and top category.
 
@@ -205,8 +222,7 @@ def _latency_ms(percentiles: DataFrame, prefix: str, keys: list[str]) -> DataFra
 
 def cell_percentiles(latencies: DataFrame) -> DataFrame:
     """Per window: exact p50, p95, p99 and maximum latency in milliseconds."""
-    added = latencies.groupBy("window_id", "latency_us").agg(F.sum("events").alias("events"))
-    ranked = exact_percentiles(added, ["window_id"], "latency_us", _RANKED, weight="events")
+    ranked = exact_percentiles(merge_latency_cells(latencies), ["window_id"], "latency_us", _RANKED, weight="events")
     return _latency_ms(ranked, "latency", ["window_id"])
 
 

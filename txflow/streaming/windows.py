@@ -4,21 +4,24 @@ Each micro-batch is added up to counted cells (see ``operators.windows``), which
 under the batch's number.  Cells of different batches add up, so nothing is ever too late: a
 row for a window that was reported already goes to its cells, and the window is reported again.
 A window is due when the arrival clock has passed its end; only batches that make one due, or
-touch a reported one, finish anything.
+touch a reported one, finish anything, and they read only the parts of the cell table that hold
+open or touched windows (see ``streaming.cells``): a batch costs the same at any age of the stream.
 
 Each micro-batch overwrites its own folders, so a batch that runs again after a failure leaves
-no duplicates.  There is no state in memory: what was seen before is read from the cells.
+no duplicates.  There is no state in memory: what was seen before is in the cells' manifest.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from txflow.functions.money import PARTS, money_sum
+from txflow.functions.money import money_sum
 from txflow.functions.timing import size_micros, window_index
 from txflow.operators.windows import (
     RESULT_COLUMNS,
@@ -30,28 +33,12 @@ from txflow.operators.windows import (
     stamp_events,
 )
 from txflow.schemas import MICROS
-
-_MONEY = ", ".join(f"total_{part} {'double' if part == 'odd' else 'bigint'}" for part in PARTS)
-CELLS = {
-    "labels": f"window_id bigint, region string, product_category string, events bigint, {_MONEY}, fraud bigint, "
-    "late bigint, first_seen decimal(38,0), last_us bigint, batch_id bigint",
-    "latencies": "window_id bigint, latency_us bigint, events bigint, batch_id bigint",
-}
-
+from txflow.streaming import cells
 
 def with_arrival_ts(events: DataFrame) -> DataFrame:
     return events.withColumn("arrival_ts", F.timestamp_micros("arrival_us"))
 
 
-def _cells(spark: SparkSession, output_path: str, name: str) -> DataFrame:
-    try:
-        return spark.read.schema(CELLS[name]).parquet(f"{output_path}/cells/{name}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], CELLS[name])  # no input yet
-
-
 def _closed(seen: int | None, size: float, delay: float) -> Column:
     """The window ended ``delay`` seconds or more before the last arrival."""
     if seen is None:
@@ -59,6 +46,15 @@ def _closed(seen: int | None, size: float, delay: float) -> Column:
     return (F.col("window_id") + 1) * size_micros(size) <= seen - round(delay * MICROS)
 
 
+def _first_open(seen: int | None, size: float, delay: float) -> int | None:
+    """The first window that had not ended ``delay`` seconds before the last arrival."""
+    return None if seen is None else (seen - round(delay * MICROS)) // size_micros(size)
+
+
+#: A batch's windows are told by ranges, so many at most.
+_PAGES = 256
+
+
 def start(
     events: DataFrame,
     output_path: str,
@@ -75,35 +71,59 @@ def start(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        table = cells.latest(spark, output_path, before=batch_id)
+        folder = cells.batch_folder(batch_id)
         stamped = stamp_events(batch, size, replay=False).persist(StorageLevel.DISK_ONLY)
         try:
-            for name, cells in (("labels", label_cells(stamped)), ("latencies", latency_cells(stamped))):
-                cells.write.mode("overwrite").parquet(f"{output_path}/cells/{name}/batch_id={batch_id}")
+            for name, added in (("labels", label_cells(stamped)), ("latencies", latency_cells(stamped))):
+                added.write.mode("overwrite").parquet(cells.path_of(output_path, name, folder))
         finally:
             stamped.unpersist()
-        labels = _cells(spark, output_path, "labels").where(F.col("batch_id") <= batch_id)
-        own = F.col("batch_id") == batch_id
-        before, seen, low = labels.agg(
-            F.max(F.when(~own, F.col("last_us"))), F.max("last_us"), F.min(F.when(own, F.col("window_id")))
-        ).first()
-        due = (
-            labels.where(_closed(seen, size, delay) & (own | ~_closed(before, size, delay))).select("window_id").distinct()
-        )
-        if due.isEmpty():
+        own = spark.read.schema(cells.TABLES["labels"]).parquet(cells.path_of(output_path, "labels", folder))
+        low, high, last = own.agg(F.min("window_id"), F.max("window_id"), F.max("last_us")).first()
+        if low is None:
+            cells.publish(spark, output_path, replace(table, batch_id=batch_id, opened=0))
             return
-        # Bounds on the window let the scan skip the cells of older batches.
-        lowest = due.agg(F.min("window_id")).first()[0]
-        latencies = _cells(spark, output_path, "latencies").where(F.col("batch_id") <= batch_id)
-        whole = [
-            cells.where(F.col("window_id") >= lowest).join(due, "window_id", "left_semi") for cells in (labels, latencies)
-        ]
-        finish_windows(*whole, size).write.mode("overwrite").json(f"{output_path}/results/batch_id={batch_id}")
+        before, seen = table.seen, last if table.seen is None else max(table.seen, last)
+        page = (high - low) // _PAGES + 1
+        pages = own.agg(F.collect_set(F.floor(F.col("window_id") / page))).first()[0]
+        new = cells.Part(folder, 0, low, high)
+        needed = cells.holding(table.parts, _first_open(before, size, delay), pages, page)
+        _finish(spark, output_path, needed, new, before, seen, size, delay)
+        parts = cells.compacted(spark, output_path, [*table.parts, new], batch_id)
+        cells.publish(spark, output_path, cells.Manifest(batch_id, seen, parts, len(needed) + 1))
 
     writer = events.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if poll is None else {"processingTime": poll}
     return writer.trigger(**trigger).start()
 
 
+def _finish(
+    spark: SparkSession,
+    output_path: str,
+    needed: list[cells.Part],
+    new: cells.Part,
+    before: int | None,
+    seen: int,
+    size: float,
+    delay: float,
+) -> None:
+    """Report the windows that a batch closed, and closed ones that it touched, from the parts that
+    hold them: those ``needed`` of before, and the batch's own ``new`` one."""
+    windows = [cells.read(spark, output_path, p, "labels").select("window_id") for p in (needed, [new])]
+    opened = windows[0].where(~_closed(before, size, delay)).unionByName(windows[1])
+    due = opened.where(_closed(seen, size, delay)).distinct()
+    lowest = due.agg(F.min("window_id")).first()[0]
+    if lowest is None:
+        return
+    # Bounds on the window let the scan skip the cells of older ones.
+    whole = [
+        cells.read(spark, output_path, [*needed, new], name).where(F.col("window_id") >= lowest).join(due, "window_id", "left_semi")
+        for name in cells.TABLES
+    ]
+    finish_windows(*whole, size).write.mode("overwrite").json(f"{output_path}/results/{new.folder}")
+
+
 def run(
     events: DataFrame,
     output_path: str,
@@ -119,20 +139,17 @@ def run(
     query.stop()
 
 
-def _last_arrival(labels: DataFrame) -> int | None:
-    return labels.agg(F.max("last_us")).first()[0]
-
-
 def flush(spark: SparkSession, output_path: str, size: float, delay: float = 0.0) -> None:
     """Report the windows of a stopped stream that are still open, from their cells.
 
     When the stream goes on, it reports those windows itself, and ``read_results`` prefers
     that.  A stream that never had input has nothing open.
     """
-    labels, latencies = (_cells(spark, output_path, name) for name in CELLS)
-    seen = _last_arrival(labels)
-    if seen is not None:
-        still = ~_closed(seen, size, delay)
+    table = cells.latest(spark, output_path)
+    if table.seen is not None:
+        still = ~_closed(table.seen, size, delay)
+        parts = cells.holding(table.parts, _first_open(table.seen, size, delay), [], 1)
+        labels, latencies = (cells.read(spark, output_path, parts, name) for name in cells.TABLES)
         finish_windows(labels.where(still), latencies.where(still), size).write.mode("overwrite").json(
             f"{output_path}/open_results"
         )
@@ -170,8 +187,9 @@ def read_results(spark: SparkSession, output_path: str, flushed: bool = False) -
 def read_cells(spark: SparkSession, output_path: str, size: float, delay: float = 0.0) -> tuple[DataFrame, DataFrame]:
     """Label and latency cells of the closed windows, from which overall statistics can be
     added up."""
-    labels, latencies = (_cells(spark, output_path, name) for name in CELLS)
-    closed = _closed(_last_arrival(labels), size, delay)
+    table = cells.latest(spark, output_path)
+    labels, latencies = (cells.read(spark, output_path, table.parts, name) for name in cells.TABLES)
+    closed = _closed(table.seen, size, delay)
     return labels.where(closed), latencies.where(closed)
 
 

@@ -1,5 +1,9 @@
 """Main text of pages."""
 
+import random
+import time
+from xml.etree import ElementTree
+
 from pyspark.sql import Row
 
 from txflow.llm.extraction import extract_pages, main_text
@@ -50,3 +54,81 @@ def test_pages_table(spark):
     assert len(got) == 4 and sum(r.text != "" for r in got) == 2
     assert Row(page_id=2, url=None, text="") in got
     assert extract_pages(pages.limit(0)).collect() == []
+
+
+LONG_P = "A paragraph of the article, with commas, and a good deal of words in it, so it counts. " * 2
+P = f"<p>{LONG_P}</p>"
+
+
+def kept(page):
+    return [x if x != LONG_P.strip() else "P" for x in main_text(page).split("\n")]
+
+
+def test_names_do_not_delete_the_article():
+    assert kept(f"<div class='content-with-sidebar'><h1>T</h1>{P}{P}</div>") == ["T", "P", "P"]
+    assert kept(f"<div class='widget'>{P}{P}</div>") == ["P", "P"]
+    assert kept(f"<div id='page-menu'><nav>{P}</nav><article>{P}</article></div>") == ["P"]
+    assert kept(f"<article>{P}<div class='legal-text'>{P}</div><section id='discussion'>{P}</section></article>") == ["P"] * 3
+    # What the names mean in earnest still goes.
+    assert kept(f"<article>{P}<div class='comments'>{P}</div><div class='advert'>{P}</div><div class='legal'>(c) us</div></article>") == ["P"]
+    assert kept(f"<body><div class=comments>{P * 5}</div><div>{P}</div></body>") == ["P"]
+    assert kept(f"<article>{P}<form class='widget'>{P}</form><div hidden class=widget>{P}</div></article>") == ["P"]
+
+
+def test_short_blocks_beside_the_best_container_stay():
+    assert kept(f"<body><nav>x</nav><h1>Head</h1><p>Short one.</p><div>{P}{P}{P}</div><p>{'a, ' * 40}</p></body>")[:3] == ["Head", "Short one.", "P"]
+    between = kept(f"<body><div>{P}{P}</div><h2>Next</h2><p>Short.</p><div>{P}{P}</div></body>")
+    assert between == ["P", "P", "Next", "Short.", "P", "P"]
+
+
+def test_a_list_of_sources_stays_in_an_article():
+    links = "<ul><li><a href=a>Source one</a><li><a href=b>Source two</a></ul>"
+    assert kept(f"<article>{P}<h2>Sources</h2>{links}</article>") == ["P", "Sources", "Source one", "Source two"]
+    assert kept(f"<article>{links}{P}</article>") == ["P"]
+    assert kept(f"<body>{links}<div>{P}{P}</div></body>") == ["P", "P"]
+
+
+def test_unclosed_elements_take_linear_time():
+    begun = time.perf_counter()
+    for name in ("svg", "noscript", "select", "object"):
+        assert main_text(f"<{name}>" * 40_000 + "<p>left</p>") == "left"
+    assert time.perf_counter() - begun < 4
+
+
+def scored_again(page):
+    """The points of all containers of well-formed pages, added up from below."""
+    points, chars = {}, {}
+
+    def walk(node, path):
+        own = node.text or ""
+        for child in node:
+            own += child.tail or ""
+            walk(child, [*path, child])
+        text = " ".join(own.split())
+        if text and node.tag in ("p", "div", "section"):
+            gain = 1 + text.count(",") + min(len(text) / 100, 3.0)
+            for level, up in enumerate(reversed(path)):
+                chars[up] = chars.get(up, 0) + len(text)
+                share = (0 if node.tag == "p" else 1) if level == 0 else 1 / (1 if level == 1 else 2 if level == 2 else 3 * level)
+                points[up] = points.get(up, 0) + gain * share
+
+    root = ElementTree.fromstring(page)
+    walk(root, [root])
+    return max(points, key=points.get)
+
+
+def test_the_best_container_is_that_of_a_plain_computation():
+    rng = random.Random(3)
+
+    def tree(depth):
+        if depth == 0 or rng.random() < 0.4:
+            return f"<p>{' '.join(rng.choice(['word,', 'word', 'longer']) for _ in range(rng.randint(1, 60)))}</p>"
+        return "<div>" + "".join(tree(depth - 1) for _ in range(rng.randint(1, 4))) + "</div>"
+
+    for _ in range(60):
+        page = "<body>" + "".join(tree(3) for _ in range(rng.randint(1, 4))) + "</body>"
+        best = scored_again(page)
+        want = [" ".join(p.text.split()) for p in (best.iter("p") if best.tag != "p" else [best])]
+        got = main_text(page).split("\n")
+        # The best container is there as a whole, in order; like siblings may stand around it.
+        assert any(got[i : i + len(want)] == want for i in range(len(got))), page

@@ -3,6 +3,10 @@
 Each page is parsed into a small tree. Paragraphs pass points for their length and commas to
 their ancestors, which lose by the share of their text inside links; the best container and
 those siblings that look alike are kept, without menus, adverts, forms, notices and comments.
+
+What an element is (a form, a hidden one) settles that it is left out. A name in its class or id does
+not: it is only taken at its word where the element does not hold the article or nearly all
+text, and a word that also occurs in articles only where it holds no paragraph of theirs.
 """
 
 from __future__ import annotations
@@ -41,6 +45,8 @@ _NOISE = frozenset(
     "commentlist disqus discussion reply replies respond popup modal overlay header masthead footer pagination pager skip "
     "widget toolbar tags meta byline copyright legal disclaimer".split()
 )
+#: Of those, names that parts of an article have as well.
+_VAGUE = frozenset("notice banner discussion header legal meta tags widget toolbar reply replies disclaimer promotion respond".split())
 _SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 _UNMEANT = frozenset("has with no without".split())
 #: An opening tag on the left ends an open element on the right.
@@ -56,35 +62,42 @@ _ENDS = {
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "noise", "points", "chars", "linked")
+    __slots__ = ("tag", "parent", "children", "noise", "named", "points", "chars", "linked")
 
-    def __init__(self, tag: str, parent: _Node | None, noise: bool):
-        self.tag, self.parent, self.noise = tag, parent, noise
+    def __init__(self, tag: str, parent: _Node | None, noise: bool, named: int = 0):
+        self.tag, self.parent, self.noise, self.named = tag, parent, noise, named
         self.children: list[_Node | str] = []
         self.points = 0.0
         self.chars = self.linked = 0
 
 
-def _is_noise(tag: str, attrs: str) -> bool:
+_BY_NAME, _BY_VAGUE_NAME = 2, 1
+
+
+def _is_noise(tag: str, attrs: str) -> tuple[bool, int]:
+    """Whether the element is left out, and else whether a name says that it should be."""
     if tag in _NEVER:
-        return True
+        return True, 0
     if not attrs or tag in ("html", "body", "main", "article"):
-        return False
+        return False, 0
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or found.get("role", "").lower() in _ROLES:
-        return True
+        return True, 0
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
-        return True
+        return True, 0
+    named = 0
     for name in (found.get("class", "") + " " + found.get("id", "")).split():
         parts = [x.lower() for x in _SPLIT.split(name) if x]
-        if parts and parts[0] not in _UNMEANT and not _NOISE.isdisjoint(parts):
-            return True
-    return False
+        if parts and parts[0] not in _UNMEANT:
+            meant = _NOISE.intersection(parts)
+            named = max(named, _BY_NAME if meant - _VAGUE else _BY_VAGUE_NAME if meant else 0)
+    return False, named
 
 
 def _tree(html: str) -> _Node:
     root = _Node("html", None, False)
     at, pos, end = root, 0, len(html)
+    unclosed: set[str] = set()  # names without another end tag
     while pos < end:
         m = _TAG.search(html, pos)
         if m is None:
@@ -109,7 +122,11 @@ def _tree(html: str) -> _Node:
             continue
         if name in _RAW:
             if not m["attrs"].endswith("/") or name in ("script", "style", "textarea", "title"):
-                closing = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(html, pos)
+                closing = None
+                if name not in unclosed:
+                    closing = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(html, pos)
+                if closing is None:
+                    unclosed.add(name)
                 pos = closing.end() if closing else (end if name in ("script", "style") else pos)
             continue
         if name in ("html", "body"):
@@ -128,13 +145,51 @@ def _tree(html: str) -> _Node:
                 if up.tag == "p" or up.tag in ends:
                     at = up.parent
                 up = up.parent
-        node = _Node(name, at, _is_noise(name, m["attrs"]))
+        node = _Node(name, at, *_is_noise(name, m["attrs"]))
         at.children.append(node)
         if not m["attrs"].endswith("/"):
             at = node
+    _judge_names(root)
     return root
 
 
+#: A paragraph of an article has so many characters, and less than so much of them in links.
+_PARAGRAPH, _LINKED = 80, 0.25
+
+
+def _judge_names(root: _Node) -> None:
+    """Leave out elements whose names say so, unless what they hold says otherwise: an article, nearly
+    all text of the page, or, for vague names inside an article, a paragraph of it."""
+    chars: dict[int, int] = {}
+    holds: dict[int, int] = {}  # 1: a paragraph, 2: an article
+    links: dict[int, int] = {}
+    order: list[tuple[_Node, bool]] = []
+    stack = [(root, False)]
+    while stack:
+        node, inside = stack.pop()
+        order.append((node, inside))
+        within = inside or node.tag in ("article", "main")
+        stack += [(c, within) for c in node.children if isinstance(c, _Node) and not c.noise]
+    if not any(node.named for node, _ in order):
+        return
+    for node, _ in reversed(order):
+        own = [c for c in node.children if isinstance(c, _Node) and not c.noise]
+        n = sum(len(c.strip()) for c in node.children if isinstance(c, str)) + sum(chars[id(c)] for c in own)
+        linked = n if node.tag == "a" else sum(links[id(c)] for c in own)
+        chars[id(node)], links[id(node)] = n, linked
+        what = max((holds[id(c)] for c in own), default=0)
+        if node.tag in ("article", "main"):
+            what = 2
+        elif node.tag in ("p", "pre", "blockquote") and n >= _PARAGRAPH and linked < _LINKED * n:
+            what = max(what, 1)
+        holds[id(node)] = what
+    for node, inside in order:
+        if node.named:
+            spared = holds[id(node)] == 2 or chars[id(node)] >= 0.9 * chars[id(root)]
+            spared = spared or (inside and node.named == _BY_VAGUE_NAME and holds[id(node)] == 1)
+            node.noise = not spared
+
+
 def _blocks(top: _Node) -> list[tuple[_Node, str, int]]:
     """(block, its own text, characters of it inside links) in page order, noise left out."""
     out: list[tuple[_Node, str, int]] = []
@@ -171,6 +226,9 @@ def _blocks(top: _Node) -> list[tuple[_Node, str, int]]:
     return out
 
 
+_SHORT = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre".split())
+
+
 def _chain(node: _Node) -> Iterator[_Node]:
     while node is not None:
         yield node
@@ -209,12 +267,19 @@ def main_text(html: str | None) -> str:
     top = outer[-1] if outer else best
     if top.parent is not None:
         enough = max(1.0, score(top) * 0.2)
-        for sibling in top.parent.children:
-            if isinstance(sibling, _Node) and sibling.chars and not sibling.noise:
-                share = sibling.linked / sibling.chars
-                good = score(sibling) >= enough or sibling.tag == "p" and sibling.chars > 80
-                if good and share < 0.25:
-                    kept.add(id(sibling))
+        beside = [c for c in top.parent.children if isinstance(c, _Node) and c.chars and not c.noise]
+        plain = [c.linked < _LINKED * c.chars for c in beside]
+        own = [i for i, c in enumerate(beside) if c is top]
+        for i, sibling in enumerate(beside):
+            good = score(sibling) >= enough or sibling.tag == "p" and sibling.chars > _PARAGRAPH
+            if good and plain[i]:
+                own.append(i)
+        first, last = min(own), max(own)
+        # Headings and short paragraphs between those, and right before the first.
+        while first and plain[first - 1] and beside[first - 1].tag in _SHORT:
+            first -= 1
+        own += [i for i in range(first, last) if plain[i] and beside[i].tag in _SHORT]
+        kept.update(id(beside[i]) for i in own)
     lines = []
     for node, text, linked in blocks:
         chain = list(_chain(node))
@@ -222,8 +287,8 @@ def main_text(html: str | None) -> str:
         if inside is None:
             continue
         lists = [up for up in chain[: inside + 1] if up.tag in ("ul", "ol")]
-        if lists and lists[-1].linked > 0.75 * lists[-1].chars:  # a list of links is a menu
-            continue
+        if lists and lists[-1].linked > 0.75 * lists[-1].chars and not (lines and any(up.tag == "article" for up in chain)):
+            continue  # a list of links is a menu, unless an article goes on with it
         lines.append(text)
     return "\n".join(lines)
 

@@ -69,6 +69,23 @@ def test_percentiles_scan_and_shuffle_the_events_once(spark, tmp_path):
     assert re.search(r"ReadSchema: struct<event_us:bigint,arrival_us:bigint>", final)
 
 
+def test_a_replay_scans_its_columns_once(spark, tmp_path):
+    events = star.timed_events(spark, SF_DIR).withColumn("unused", F.lit("x"))
+    events.write.parquet(str(tmp_path / "e"))
+    read = spark.read.parquet(str(tmp_path / "e"))
+    ranked = ["event_id", "event_us", "arrival_us"]
+    for query, columns in (
+        (W.window_latency_percentiles, ranked),
+        (W.window_late_counts, ranked),
+        (lambda s: W.window_totals(s, 3600.0), [*ranked, "is_fraud", "total"]),
+    ):
+        plan = plan_of(query(W.stamp_events(read, 3600.0)), final=True)
+        final = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+        assert final.count("Scan parquet") == 1 and "Subquery" not in final and "Union" not in final
+        read_columns = re.search(r"ReadSchema: struct<([^>]*)>", final).group(1)
+        assert {c.split(":")[0] for c in read_columns.split(",")} <= set(columns)
+
+
 def test_window_aggregates_hash_instead_of_sorting_events(spark):
     stamped = W.stamp_events(star.timed_events(spark, SF_DIR), 3600.0, replay=False)
     for cells in (W.label_cells(stamped), W.latency_cells(stamped)):

@@ -47,29 +47,29 @@ def assign_open_window(events: DataFrame, size: float, replay: bool = True) -> D
     A replay of a whole recorded stream starts in the window of its first event's own
     time and moves on with the arrival clock, never back.  That first event is exactly one
     row: the one of lowest arrival, then id, then content; of rows equal in all fields any
-    one.  It is found by one aggregate, and rows equal to it are looked up on their own.  A
-    live stream (``replay=False``) has no first event.
+    one.  Two small jobs find it up front: the lowest arrival and id, from two columns, and
+    what the rows that have them hold, which is a point lookup.  The plan itself then has one
+    scan of the columns it needs.  A live stream (``replay=False``) has no first event.
     """
     arrival_window = _placed(window_index(F.col("arrival_us"), size))
     timed = assign_window(events, size)
     if not replay:
         return timed.withColumn("window_id", arrival_window)
+    lowest = events.agg(F.min(F.struct("arrival_us", _event_id().alias("event_id"))).alias("row")).first()["row"]
+    if lowest is None or lowest.arrival_us is None:
+        return timed.withColumn("window_id", arrival_window)
+    heads = (F.col("arrival_us") == lowest.arrival_us) & _has_id(lowest.event_id)
     content = F.xxhash64(*events.columns)
-    first = timed.agg(
-        F.min(F.struct("arrival_us", _event_id().alias("event_id"), content.alias("content"), "event_window_id")).alias("first")
-    )
-    same = (
-        (F.col("arrival_us") == F.col("first.arrival_us"))
-        & (_event_id() == F.col("first.event_id"))
-        & (content == F.col("first.content"))
-    )
-    start = F.col("first.event_window_id")
-    later = _placed(F.greatest(start, arrival_window))
-    known = timed.withColumn("first", first.scalar())
-    copies = known.filter(same).withColumn("copy", F.row_number().over(Window.partitionBy("arrival_us").orderBy("arrival_us")))
-    heads = copies.withColumn("window_id", _placed(F.when(F.col("copy") == 1, start).otherwise(later))).drop("copy")
-    rest = known.filter(F.coalesce(~same, F.lit(True))).withColumn("window_id", later)
-    return rest.unionByName(heads).drop("first")
+    ends = timed.filter(heads).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(content, "event_window_id")).alias("first")).first()
+    start = ends["first"].event_window_id
+    later = _placed(F.greatest(F.lit(start), arrival_window))
+    heads = F.coalesce(heads, F.lit(False))
+    if ends["n"] == 1:
+        return timed.withColumn("window_id", _placed(F.when(heads, F.lit(start)).otherwise(later)))
+    by_content = Window.partitionBy("arrival_us").orderBy(content)
+    copies = timed.filter(heads).withColumn("copy", F.row_number().over(by_content))
+    first = copies.withColumn("window_id", _placed(F.when(F.col("copy") == 1, F.lit(start)).otherwise(later))).drop("copy")
+    return timed.filter(~heads).withColumn("window_id", later).unionByName(first)
 
 
 def mark_late(events: DataFrame) -> DataFrame:
@@ -102,6 +102,12 @@ def _event_id() -> Column:
     return F.coalesce("event_id", F.lit(NO_EVENT_ID))
 
 
+def _has_id(event_id: int) -> Column:
+    """The event has this id, in a form that scans can skip by."""
+    own = F.col("event_id") == event_id
+    return own | F.col("event_id").isNull() if event_id == NO_EVENT_ID else own
+
+
 def first_seen() -> Column:
     """Arrival and id as one number, which orders like the pair.  A struct would turn the hash
     aggregates below into sorts of all events.  Arrivals up to year 170,000 fit; a later one is

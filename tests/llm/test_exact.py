@@ -119,6 +119,27 @@ def test_repeats_of_edge_rows(spark):
     assert substrings.remove_repeats(empty(spark)).collect() == []
 
 
+def test_rows_without_ids_are_told_apart_by_their_whole_texts(spark):
+    # These two texts agree in the lower 24 bits of their hash.
+    def tag(text):
+        return pytest.importorskip("xxhash").xxh64(text.encode(), seed=42).intdigest() & 0xFFFFFF
+
+    first, met = None, {}
+    for i in range(200_000):
+        # Long ones of 40 words, short ones of five.
+        text = " ".join(f"{'l' if i % 2 else 's'}{i}w{k}" for k in range(40 if i % 2 else 5))
+        other = met.setdefault(tag(text), text)
+        if len(other.split()) != len(text.split()):
+            first = [other, text]
+            break
+    assert first
+    texts = [*first, *(f"n{i} " * 3 + "shared " * (i % 40) for i in range(3000))]
+    rows = substrings.remove_repeats(frame(spark, [(None, t) for t in texts])).collect()
+    want = without_repeats(texts, 35)
+    assert Counter((r.n_words, r.kept) for r in rows) == Counter((n, kept) for n, _, kept in want)
+    assert {t for t in first} <= {r.kept for r in rows}
+
+
 def test_repeats_across_pieces_of_a_long_text(spark, monkeypatch):
     monkeypatch.setattr(substrings, "_PIECE_WORDS", 50)
     monkeypatch.setattr(substrings, "_PIECE_BYTES", 64)

@@ -27,7 +27,6 @@ from txflow.llm.common import discard, stored, texts_in_bites
 
 WINDOW, SEED = 35, 8
 _N_BITS = 6  # a stretch has at most WINDOW - SEED + 1 windows
-_FIRST_BITS = 32
 
 _ONE = np.uint64(1)
 
@@ -165,27 +164,27 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _stretches(docs: DataFrame, window: int, seed: int) -> DataFrame:
-    """(doc_id, seed, words, place): all stretches. ``place`` packs bits of the text's hash,
-    the first window and the number of windows."""
-    columns = ["doc_id", "seed", "words", "place"]
+    """(doc_id, tag, seed, words, place): all stretches. ``place`` packs the first window and the
+    number of windows."""
+    columns = ["doc_id", "tag", "seed", "words", "place"]
 
     def run(batches):
         for part, texts in texts_in_bites(batches, "text"):
             h, doc, at = _bite(texts)
-            tag = part.column(1).to_numpy(zero_copy_only=False)
             for low in range(0, max(1, len(h) - window + 1), _PIECE_WORDS):
                 high = min(len(h), low + _PIECE_WORDS + window - 1)
                 first, count, anchor, words = _anchors(h[low:high], doc[low:high], window, seed)
                 if not len(first):
                     continue
                 of = doc[low + first]
-                place = (tag[of] << (_N_BITS + _FIRST_BITS)) | ((low + first - at[of]) << _N_BITS) | count
+                place = ((low + first - at[of]) << _N_BITS) | count
+                own = pa.array(of)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(of)), _signed(anchor), _signed(words), pa.array(place, pa.int64())], columns
+                    [part.column(0).take(own), part.column(1).take(own), _signed(anchor), _signed(words), pa.array(place, pa.int64())], columns
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "tag", "text").mapInArrow(run, f"doc_id {kind}, seed long, words long, place long")
+    return docs.select("doc_id", "tag", "text").mapInArrow(run, f"doc_id {kind}, tag long, seed long, words long, place long")
 
 
 def _spans(covered: np.ndarray) -> list[tuple[int, int]]:
@@ -214,18 +213,20 @@ def remove_repeats(
     """Remove every word inside a window of ``window`` words that occurs twice or more.
 
     ``docs`` needs doc_id and text; of the other columns those in ``carry`` are passed on, whose
-    names must not be among the result's. Returns doc_id, tag (bits of the text's hash), n_words, kept (the remaining words joined by one space) and spans (removed
-    runs of words, start and end). One row per input row.
+    names must not be among the result's. Returns doc_id, tag (the text's 64-bit hash), n_words, kept
+    (the remaining words joined by one space) and spans (removed runs of words, start and end).
+    One row per input row.
 
     Words are runs without ASCII white space. A null text has no words. Texts shorter than a
     window lose nothing. Repeated rows are occurrences like others, so both lose everything;
     rows of one id with different texts are told apart by their text. Null ids are ids like
     others. Windows overlapping their own copies ("a a a ...") count. No rows give no rows.
-    Windows are judged on the input. Equality is that of 128-bit hashes.
+    Windows are judged on the input. Equality of words, and of texts under one id, is that of
+    their 64-bit hashes; that of stretches and windows is that of two hashes of their words'.
     """
     base = docs.select(
         "doc_id",
-        F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 24)).alias("tag"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"),
         F.coalesce("text", F.lit("")).alias("text"),
         *carry,
     )
@@ -236,21 +237,16 @@ def remove_repeats(
     met = stored(places.join(twice, "seed"), "met-stretches")
     discard(places, twice)
     by_words = stored(
-        met.groupBy("seed", "words").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "place")).alias("witness")), "kinds"
+        met.groupBy("seed", "words").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "tag", "place")).alias("witness")), "kinds"
     )
     several = stored(by_words.groupBy("seed").agg(F.count("*").alias("kinds")), "kinds-by-anchor")
     kinds = stored(by_words.join(several, "seed").withColumn("whole", F.col("n") > 1).where("whole or kinds > 1"), "kinds-met")
     judged = (
         met.join(kinds, ["seed", "words"])
-        .withColumn(
-            "shown",
-            (F.col("kinds") > 1)
-            & (~F.col("whole") | (F.col("doc_id").eqNullSafe(F.col("witness.doc_id")) & (F.col("place") == F.col("witness.place")))),
-        )
-        .select("doc_id", "place", "whole", "shown")
+        .withColumn("shown", (F.col("kinds") > 1) & (~F.col("whole") | F.struct("doc_id", "tag", "place").eqNullSafe(F.col("witness"))))
+        .select("doc_id", "tag", "place", "whole", "shown")
     )
-    tag = F.shiftrightunsigned("place", _N_BITS + _FIRST_BITS)
-    by_doc = judged.groupBy("doc_id", tag.alias("tag")).agg(
+    by_doc = judged.groupBy("doc_id", "tag").agg(
         F.collect_list(F.struct("place", "whole", "shown")).alias("stretches")
     )
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["tag"] == b["tag"])
@@ -258,7 +254,6 @@ def remove_repeats(
         base["doc_id"], base["tag"], "text", "stretches", *carry
     )
     kind = docs.schema["doc_id"].dataType.simpleString()
-    mask = (1 << _FIRST_BITS) - 1
 
     def extend(batches):
         _, _, _, rolled, wide = _tools()
@@ -274,7 +269,7 @@ def remove_repeats(
                 n_words.append(len(words))
                 own = slice(offsets[i], offsets[i + 1]) if valid[i] else slice(0, 0)
                 p, w, s = place[own], whole[own].astype(bool), shown[own].astype(bool)
-                first, count = (p >> _N_BITS) & mask, p & ((1 << _N_BITS) - 1)
+                first, count = p >> _N_BITS, p & ((1 << _N_BITS) - 1)
                 at = np.zeros(0, np.int64)
                 if s.any():
                     at = np.repeat(first[s], count[s]) + np.concatenate([np.arange(c) for c in count[s]])

@@ -11,6 +11,7 @@ from txflow.operators.cleaning import clean_transactions
 from txflow.operators.features import engineer_features
 from txflow.operators.summaries import SHARED_CELLS, sales_cells
 from txflow.sinks.tables import preview, write_featured, write_metrics, write_summary
+from txflow.sinks.versions import publish
 from txflow.sources.transactions import count_while_running, scan_transactions
 
 
@@ -64,3 +65,11 @@ def run_batch(
     }
     write_metrics(spark, metrics, f"{output_path}/run_metrics")
     return metrics
+
+
+def publish_batch(
+    spark: SparkSession, input_path: str, output_path: str, partitions: int | None = None, show: bool = False
+) -> dict[str, Any]:
+    """``run_batch`` into a version of its own; ``sinks.versions.current`` names the last whole one,
+    so that a reader never meets outputs of two runs, or half of one."""
+    return publish(spark, output_path, lambda folder: run_batch(spark, input_path, folder, partitions, show))

@@ -43,21 +43,26 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """(text, y) of at most ``most`` labelled rows to learn from, the same at each run: those
-    whose ids hash lowest. Held-out ids, null ids and null labels are left out.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str | Column, most: int) -> DataFrame:
+    """(doc_id, text, y) of at most ``most`` labelled rows to learn from, the same at each run: of the
+    ids in ``docs`` that have a label those that hash lowest. Held-out ids, null ids and null labels
+    are left out. Of several labels of an id the greatest counts, of several texts the least.
 
-    The rows to take are chosen on the narrow label table; their number is bounded by
-    ``most``, so the join may broadcast them, and the texts never reach the driver.
+    The rows to take are chosen on narrow tables; their number is bounded by ``most``, so the
+    join may broadcast them, and the texts never reach the driver.
     """
+    y = F.col(label) if isinstance(label, str) else label
     chosen = (
-        labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
+        labels.select("doc_id", y.alias("y"))
+        .where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
-        .agg(F.max(label).alias("y"))
+        .agg(F.max("y").alias("y"))
+        .join(docs.select("doc_id"), "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("y").cast("int"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    return texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
 
 
 def words_of(text: str | None) -> list[bytes]:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txflow.llm.common import held_out, stored, texts_in_bites
+from txflow.llm.common import labelled_sample, stored, texts_in_bites
 from txflow.llm.jaccard import _LOWERED
 from txflow.llm.substrings import _word_hashes
 
@@ -88,6 +88,10 @@ class Classifier:
         return tokens, _softmax(margins)
 
 
+#: A share of the tokens that the fit may be off by.
+SETTLED = 1e-6
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(1, keepdims=True))
     return e / e.sum(1, keepdims=True)
@@ -97,16 +101,8 @@ def fit(docs: DataFrame, labels: DataFrame, domains: list[str], examples: int =
     """Learn domains ``q<quality>t<toxic>`` from at most ``examples`` labelled rows that are not
     held out, those whose ids hash lowest; features are computed where the texts are."""
     domain = F.concat(F.lit("q"), F.col("quality").cast("string"), F.lit("t"), F.col("toxic").cast("string"))
-    chosen = (
-        labels.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-        .select("doc_id", domain.alias("domain"))
-        .where(F.col("domain").isin(domains))
-        .groupBy("doc_id")
-        .agg(F.max("domain").alias("domain"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(examples)
-    )
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "domain")
+    known = F.when(domain.isin(domains), domain)
+    sample = labelled_sample(docs, labels, known, examples).select("text", F.col("y").alias("domain"))
 
     def run(batches):
         for part, texts in texts_in_bites(batches, "text"):
@@ -147,7 +143,8 @@ def fit_rates(parts: DataFrame, shares: list[float], pull: float = PULL, passes:
     expected domain shares to ``shares`` plus ``pull`` / 2 times the token-weighted squared
     distance of the rates to one, over rates of at least zero. Each pass projects every rate,
     sums the domains' gradient and the curvature of the documents with positive rates, and
-    takes a Newton step on the multipliers, halved until it gains.
+    takes a Newton step on the multipliers, halved until it gains. A fit whose slope is above
+    ``SETTLED`` in the end is an error.
     """
     k = len(shares)
     total = parts.agg(F.sum("n_tokens")).first()[0] or 0
@@ -183,6 +180,8 @@ def fit_rates(parts: DataFrame, shares: list[float], pull: float = PULL, passes:
         if new[0] >= value:
             break
         m, (value, slope, curve) = m - size * step, new
+    if np.abs(slope).max() > SETTLED:
+        raise RuntimeError(f"rates did not settle in {passes} passes: the slope is still {np.abs(slope).max():.3g}")
     return m
 
 

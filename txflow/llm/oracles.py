@@ -147,10 +147,39 @@ select doc_id, n_features, weight, score, case when fit and r <= 25 * n // 100 t
 """
 
 
+#: Bytes are pairs of hex digits, read from pieces of texts; a window's place is its document and start in one number.
+SUFFIX_ARRAY_DEDUP = """
+with d as (select row_number() over (order by doc_id) as k, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+piece as (
+  select k, p0, substr(h, 2 * p0 + 1, 2198) as c from d, unnest(range(0, len(h) // 2, 1000)) as u(p0)
+),
+win as (
+  select k * 1000000000 + p0 + p as place, substr(c, 2 * p + 1, 200) as s
+  from piece, unnest(range(0, least(1000, len(c) // 2 - 99))) as u(p) where len(c) >= 200
+),
+twice as (select s, min(place) as first from win group by s having count(*) > 1),
+later as (select place // 1000000000 as k, place % 1000000000 as p from win join twice using (s) where place > first),
+hit as (select distinct k, q from later, unnest(range(p, p + 100)) as u(q)),
+removed as (
+  select k, count(*) as n, count(*) filter (where before is null or q - 1 <> before) as spans
+  from (select k, q, lag(q) over (partition by k order by q) as before from hit) group by k
+),
+byte as (
+  select k, p0 + p as q, substr(c, 2 * p + 1, 2) as b
+  from piece join removed using (k), unnest(range(0, least(1000, len(c) // 2))) as u(p)
+),
+kept as (select k, string_agg(b, '' order by q) as h from byte anti join hit using (k, q) group by k)
+select doc_id, len(d.h) // 2 as n_bytes, coalesce(n, 0) as n_removed, coalesce(spans, 0) as n_spans,
+       sha256(unhex(case when n is null then d.h else coalesce(kept.h, '') end)) as kept_sha256
+from d left join removed using (k) left join kept using (k)
+"""
+
+
 def oracles() -> dict[str, str]:
     return {
         "op2_substring_dedup": SUBSTRING_DEDUP,
         "op7_chat_formatting": CHAT,
         "op9_decontamination": DECONTAMINATION,
         "op11_importance_resampling": RESAMPLING,
+        "op13_suffix_array_dedup": SUFFIX_ARRAY_DEDUP,
     }

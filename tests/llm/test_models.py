@@ -1,12 +1,18 @@
 """Fitted operators: exactness of what they compute, held-out accuracy, edge rows."""
 
+import pickle
+import re
+import zlib
+from collections import Counter
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.cases import TEXTS, edge, empty, labels
+from tests.llm.cases import TEXTS, edge, empty, frame, labels
 from txflow.llm import language, mixing, quality, queries, toxicity
-from txflow.llm.common import held_out
+from txflow.llm.common import held_out, labelled_sample
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -124,7 +130,7 @@ def test_block_max_index_finds_the_exact_neighbours(spark):
             self.counts = rng.integers(1, 5, len(self.terms)).tolist()
 
     rows = [Row(i) for i in range(500)]
-    index = toxicity.Index(rows, rng.integers(1, 300, 40).astype(float), 1000, 40, block=16)
+    index = toxicity.Index(rows, rng.integers(1, 300, 40).astype(float), 1000, block=16)
     vectors = np.zeros((len(rows), 40))
     for i, r in enumerate(rows):
         if r.terms:
@@ -134,10 +140,115 @@ def test_block_max_index_finds_the_exact_neighbours(spark):
         if r.terms:
             t, w = index.weigh(r.terms, r.counts)
             want = np.sort(np.round(vectors[:, t] @ w, 12))[::-1]
-            got = [s for s, _ in index.nearest(r.terms, r.counts, 10)]
+            got = [s for s, _ in index.nearest([(r.terms, r.counts)], 10)[0]]
             assert np.allclose(got, [x for x in want[:10] if x > 0][: len(got)], atol=1e-9) and len(got) == min(10, (want > 0).sum())
 
 
+def test_few_blocks_of_the_index_are_opened():
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(1600):
+        # Twenty topics with words of their own, and common words.
+        own = rng.choice(50, 12, replace=False) + 50 * (i % 20)
+        terms = np.sort(np.concatenate([own, 1000 + rng.choice(30, 10, replace=False)]))
+        rows.append(SimpleNamespace(doc_id=i, y=i % 2, terms=terms, counts=rng.integers(1, 4, len(terms))))
+    df = np.bincount(np.concatenate([r.terms for r in rows]), minlength=1030).astype(float)
+    index = toxicity.Index(rows, df, len(rows), block=16)
+    opened = []
+    queries = [(r.terms, r.counts) for r in rows[:100]]
+    near, others = index.nearest(queries, opened=opened), index.nearest(queries, but=[r.doc_id for r in rows[:100]])
+    for r, own, rest in zip(rows[:100], near, others, strict=True):
+        assert index.ids[own[0][1]] == r.doc_id and r.doc_id not in index.ids[[i for _, i in rest]]
+    assert near[3] == index.nearest(queries[3:4])[0]
+    assert np.mean(opened) < 0.2
+    again = pickle.loads(pickle.dumps(index))
+    assert again.nearest(queries) == near
+
+
+def test_toxicity_equals_dense_cosines(spark):
+    rng = np.random.default_rng(9)
+    words = [f"{a}{b}{a}{c}{k}" for k, (a, b, c) in enumerate(zip("bcdfghjklm" * 6, "aeiou" * 12, "npqrst" * 10, strict=True))]
+    texts = [" ".join(rng.choice(words, rng.integers(0, 30))) for _ in range(260)] + [None, "1 2 3"]
+    marked = [(i, 0, int(i % 3 == 0)) for i in range(0, 262)]
+    got = {r.doc_id: r for r in toxicity.score_documents(frame(spark, list(enumerate(texts))), labels(spark, [(*m, "t") for m in marked])).collect()}
+    terms = [Counter(x for w in re.findall("[a-z]+", t or "") for x in {w if len(w) <= n else w[:n] + "-" for n in (4, 6)}) for t in texts]
+    learnt = [i for i in range(262) if zlib.crc32(str(i).encode()) % 5]
+    vocabulary = sorted({t for i in learnt for t in terms[i]})
+    n = np.array([[c[t] for t in vocabulary] for c in terms], float)
+    x = np.where(n > 0, 1 + np.log(np.maximum(n, 1)), 0) * (np.log((1 + 262) / (1 + (n > 0).sum(0))) + 1e-3)
+    x /= np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-12)
+    cosine = x @ x[learnt].T
+    for i, t in enumerate(terms):
+        if t:
+            best = np.sort(cosine[i])[::-1][:3]
+            assert np.allclose([e.cosine for e in got[i].evidence], best[best > 0], atol=1e-9)
+            assert all(abs(cosine[i, learnt.index(e.doc_id)] - e.cosine) < 1e-9 for e in got[i].evidence)
+        else:
+            assert got[i].evidence == [] and got[i].score == got[261].score
+    y = np.array([m[2] for m in marked])[learnt]
+    prior = (y.sum() + 0.5) / (len(y) + 1)
+
+    def vote(s):
+        near = np.argsort(-s, kind="stable")[: toxicity.NEIGHBOURS]
+        near = near[s[near] > 1e-12]
+        w = 1 / (1.05 - np.minimum(1, s[near]))
+        return (w @ y[near] + 2 * prior) / (w.sum() + 2)
+
+    own = cosine[learnt].copy()
+    np.fill_diagonal(own, -1)
+    # Ties at the last neighbour may go either way in this plain form; they are rare here.
+    votes = np.array([vote(s) for s in own])
+    bare = [k for k, i in enumerate(learnt) if not terms[i]]
+    votes[bare] = (y[bare].sum() + prior) / (len(bare) + 1)
+    least = toxicity.least_vote(votes, y)
+    close = [abs(toxicity.moved(vote(cosine[i]), least) - got[i].score) < 1e-6 for i, t in enumerate(terms) if t]
+    assert np.mean(close) > 0.97
+
+
+def test_quality_votes_equal_plain_cosines():
+    rng = np.random.default_rng(12)
+    texts = ["".join(rng.choice(list("abC1 .,-\n!?"), rng.integers(3, 200))) for _ in range(150)]
+    found = [quality.term_counts(t) for t in texts]
+    df = np.zeros(quality.SPACE)
+    for t, _ in found:
+        df[t] += 1
+    rows = [
+        SimpleNamespace(y=int(rng.random() < 0.4), terms=t.astype(np.int32).tobytes(), counts=c.astype(np.int32).tobytes())
+        for t, c in found[:100]
+    ]
+    model = quality.Model(rows, df, len(texts), rank=20)
+    vocabulary = np.flatnonzero(sum(np.bincount(t, minlength=quality.SPACE) for t, _ in found[:100]))
+
+    def vector(t, c):
+        n = np.zeros(quality.SPACE)
+        n[t] = c
+        x = np.sqrt(n / max(1, n.sum()))[vocabulary] * (np.log((1 + len(texts)) / (1 + df[vocabulary])) + 0.05)
+        return x / max(np.sqrt(x @ x), 1e-12)
+
+    ordered = sorted(zip(rows, found[:100], strict=True), key=lambda r: (r[0].terms, r[0].counts, r[0].y))
+    x = np.array([vector(*f) for _, f in ordered])
+    y = np.array([r.y for r, _ in ordered])
+    # The latent space is that of the largest singular values.
+    _, _, v = np.linalg.svd(x, full_matrices=False)
+    unit = lambda z: z / np.maximum(np.sqrt((z * z).sum(-1, keepdims=True)), 1e-9)
+    examples = unit(x @ v[:20].T)
+    for text, f, score in zip(texts[100:], found[100:], model.score(texts[100:]), strict=True):
+        cosine = examples @ unit(vector(*f) @ v[:20].T)
+        near = np.argsort(-cosine)[: quality.NEIGHBOURS]
+        w = np.maximum(cosine[near], 0) ** quality.SHARPNESS
+        assert abs((w @ y[near] + 0.5 * y.mean()) / (w.sum() + 0.5) - score) < 1e-3, text
+
+
+def test_the_sample_is_cut_after_the_join(spark):
+    docs = frame(spark, [(i, f"t{i}") for i in range(40)] + [(3, "s"), (3, None), (None, "x")])
+    marks = labels(spark, [(i, 1, 0, "t") for i in range(3000)] + [(3, 0, 1, "t"), (None, 1, 1, "t")])
+    rows = labelled_sample(docs, marks, "toxic", 20).collect()
+    fit = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    assert len(rows) == 20 and {r.doc_id for r in rows} <= set(fit)
+    rows = {r.doc_id: (r.text, r.y) for r in labelled_sample(docs, marks, "toxic", 1000).collect()}
+    assert rows == {i: ("", 1) if i == 3 else (f"t{i}", 0) for i in fit}
+
+
 def test_rates_meet_the_targets(spark):
     rng = np.random.default_rng(1)
     p = rng.dirichlet([0.4, 0.4, 0.4], 400)
@@ -154,8 +265,13 @@ def test_rates_meet_the_targets(spark):
 
 
 def test_held_out_rule(spark):
-    import zlib
-
     ids = spark.range(200).select("id", held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in ids)
     assert spark.sql("select cast(null as long) as i").select(held_out(F.col("i"))).first()[0] is False
+
+
+def test_a_fit_that_does_not_settle_is_an_error(spark):
+    parts = spark.createDataFrame([(5, [0.7, 0.3]), (9, [0.2, 0.8])], "n_tokens long, posteriors array<double>")
+    with pytest.raises(RuntimeError, match="did not settle"):
+        mixing.fit_rates(parts, [0.9, 0.05], passes=0)
+    assert len(mixing.fit_rates(parts, [0.9, 0.05])) == 2

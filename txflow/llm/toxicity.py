@@ -1,16 +1,18 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are lower-cased words and their beginnings, all those of a bounded labelled sample. The
-examples' vectors are filed in a block-max inverted index: rare terms have postings, common
-ones are read only for blocks of examples that can still reach the nearest found so far.
+Terms are the beginnings of lower-cased words, all those of a bounded labelled sample. The
+examples' vectors are filed in a block-max inverted index: rare terms, which weigh most, are walked
+first; for common ones each block of like examples has the greatest weight of the term in it. What was
+walked and these maxima bound the cosines in a block, which is only opened if they can reach
+the nearest found so far.
 """
 
 from __future__ import annotations
 
 import pickle
-import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from types import SimpleNamespace
 
 import numpy as np
@@ -19,31 +21,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txflow.llm.common import held_out, stored, texts_in_bites
+from txflow.llm.common import labelled_sample, stored, texts_in_bites
 
 #: Bound of the fitted part: labelled rows.
 EXAMPLES = 6000
-NEIGHBOURS, BLOCK = 15, 64
-_WORD = re.compile(r"[^\W\d_]+")
-#: Lengths of word beginnings that are terms beside the whole words.
-BEGINNINGS = (4, 5, 6, 7)
-
-
-def _terms(word: str) -> list[str]:
-    return [word, *[word[:n] + "-" for n in BEGINNINGS if len(word) > n]]
-
-
-def _ids(text: str | None, at: dict[str, int], known: dict[str, tuple[int, ...]]) -> dict[int, int]:
-    """The known terms of a text and how often each occurs; ``known`` keeps words' terms."""
-    found: dict[int, int] = {}
-    if len(known) > 200_000:
-        known.clear()
-    for word, n in Counter(_WORD.findall((text or "").lower())).items():
-        ids = known.get(word)
-        if ids is None:
-            ids = known[word] = tuple(at[t] for t in _terms(word) if t in at)
-        for i in ids:
-            found[i] = found.get(i, 0) + n
+NEIGHBOURS, BLOCK = 15, 32
+#: Documents that are compared at once; a term is common in more than this part of the examples.
+TOGETHER, COMMON = 32, 8
+#: A word's terms are its beginnings of these lengths, or the word itself where it is no longer. Whole
+#: words and more lengths found no more of the held-out rows.
+SHORT, LONG = 4, 6
+#: ASCII but letters parts words.
+_PARTS = bytes(i if i >= 0x80 or chr(i).isalpha() else 0x20 for i in range(256))
+
+
+def _terms(text: str | None) -> Counter:
+    """The terms of a text and how often each occurs."""
+    words = (text or "").lower().encode("utf-8", "replace").translate(_PARTS).decode().split()
+    found = Counter([w if len(w) <= SHORT else w[:SHORT] + "-" for w in words])
+    found.update([w if len(w) <= LONG else w[:LONG] + "-" for w in words if len(w) > SHORT])
     return found
 
 
@@ -51,35 +47,14 @@ def _vocabulary(sample: DataFrame) -> list[str]:
     """All terms of the labelled sample."""
 
     def run(batches):
-        for part, texts in texts_in_bites(batches, "text"):
-            found = {t for text in texts for w in set(_WORD.findall((text or "").lower())) for t in _terms(w)}
+        for _, texts in texts_in_bites(batches, "text"):
+            found = {t for text in texts for t in _terms(text)}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], ["term"])
 
     terms = sample.select("text").mapInArrow(run, "term string").distinct()
     return sorted(terms.toArrow().column(0).to_pylist())
 
 
-def _document_counts(docs: DataFrame, vocabulary) -> tuple[np.ndarray, int]:
-    """How many of ``docs`` have each term of the (broadcast) vocabulary, and their number."""
-
-    def run(batches):
-        at = {t: i for i, t in enumerate(vocabulary.value)}
-        known: dict[str, tuple[int, ...]] = {}
-        # The last count is that of the documents.
-        counts = np.zeros(len(at) + 1, np.int64)
-        for _, texts in texts_in_bites(batches, "text"):
-            for text in texts:
-                counts[list(_ids(text, at, known))] += 1
-            counts[-1] += len(texts)
-        own = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(counts[own], pa.int64())], ["term", "n"])
-
-    counted = docs.select("text").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(len(vocabulary.value) + 1, np.int64)
-    counts[counted["term"].to_numpy()] = counted["n"].to_numpy()
-    return counts[:-1].astype(np.float64), int(counts[-1])
-
-
 def _vectors(docs: DataFrame, vocabulary) -> DataFrame:
     """``docs`` without text, with terms and counts of the (broadcast) vocabulary's terms."""
     rest = [c for c in docs.columns if c != "text"]
@@ -89,99 +64,183 @@ def _vectors(docs: DataFrame, vocabulary) -> DataFrame:
 
     def run(batches):
         at = {t: i for i, t in enumerate(vocabulary.value)}
-        known: dict[str, tuple[int, ...]] = {}
         for part, texts in texts_in_bites(batches, "text"):
-            found = [sorted(_ids(text, at, known).items()) for text in texts]
+            terms, counts, ends = [], [], [0]
+            for text in texts:
+                found = sorted([(at[t], n) for t, n in _terms(text).items() if t in at])
+                terms += [t for t, _ in found]
+                counts += [n for _, n in found]
+                ends.append(len(terms))
             kept = [part.column(i) for i, c in enumerate(part.schema.names) if c != "text"]
-            kept += [pa.array([[x[k] for x in f] for f in found], pa.list_(pa.int32())) for k in (0, 1)]
+            kept += [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x, pa.int32())) for x in (terms, counts)]
             yield pa.RecordBatch.from_arrays(kept, names=schema.names)
 
     return docs.select(*rest, "text").mapInArrow(run, schema)
 
 
-class Index:
-    """Unit TF-IDF vectors of the labelled examples as a block-max inverted index.
+def _document_counts(vectors: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """How many of ``vectors`` have each of ``size`` terms, and their number."""
+
+    def run(batches):
+        # The last count is that of the documents.
+        counts = np.zeros(size + 1, np.int64)
+        for batch in batches:
+            found = batch.column(0)
+            counts[:-1] += np.bincount(found.flatten().to_numpy(), minlength=size)
+            counts[-1] += len(found)
+        own = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(counts[own], pa.int64())], ["term", "n"])
+
+    counted = vectors.select("terms").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(size + 1, np.int64)
+    counts[counted["term"].to_numpy()] = counted["n"].to_numpy()
+    return counts[:-1].astype(np.float64), int(counts[-1])
+
+
+def _likeness_order(term: np.ndarray, weight: np.ndarray, first: np.ndarray, terms: int, block: int) -> np.ndarray:
+    """An order in which like examples are neighbours: halves along the direction in which they
+    differ most, again and again down to a block."""
+    n = len(first) - 1
+    row = np.repeat(np.arange(n), np.diff(first))
+    todo, out = [np.arange(n)], []
+    rng = np.random.default_rng(5)
+    while todo:
+        own = todo.pop()
+        if len(own) <= block:
+            out.append(own)
+            continue
+        local = np.full(n, -1)
+        local[own] = np.arange(len(own))
+        inside = local[row] >= 0
+        r, t, w = local[row[inside]], term[inside], weight[inside]
+        mean = np.bincount(t, w, terms) / len(own)
+        side = rng.standard_normal(len(own))
+        for _ in range(6):
+            direction = np.bincount(t, w * side[r], terms) - mean * side.sum()
+            side = np.bincount(r, w * direction[t], len(own)) - mean @ direction
+            side /= np.sqrt(side @ side) or 1.0
+        order = own[np.argsort(side, kind="stable")]
+        # Whole blocks go to either side.
+        half = (len(own) + block) // (2 * block) * block
+        todo += [order[half:], order[:half]]
+    return np.concatenate(out)
 
-    Terms in few examples have postings. Those in more than an eighth of them weigh little:
-    they are columns, read only for blocks of examples that can reach the nearest so far by
-    the largest length of that part of their vectors.
-    """
 
-    def __init__(self, rows: list, df: np.ndarray, n: int, terms: int, block: int = BLOCK):
-        self.made_of = (rows, df, n, terms, block)
+class Index:
+    """Unit TF-IDF vectors of the labelled examples as a block-max inverted index."""
+
+    def __init__(self, rows: list, df: np.ndarray, n: int, block: int = BLOCK):
+        self.made_of, self.block = (rows, df, n, block), block
         self.idf = np.log((1 + n) / (1 + df)) + 1e-3
         self.prior = (sum(r.y for r in rows) + 0.5) / (len(rows) + 1)
         bare = [r.y for r in rows if not len(r.terms)]
         #: For texts without a term of the vocabulary: what such examples are.
         self.bare = (sum(bare) + self.prior) / (len(bare) + 1)
-        rows = [r for r in rows if len(r.terms)]
-        weighed = [(*self.weigh(r.terms, r.counts), r) for r in rows]
-        # Examples with the same heaviest term share blocks, which keeps block maxima apart.
-        weighed.sort(key=lambda x: (int(x[0][np.argmax(x[1])]), -float(x[1].max()), x[2].doc_id))
-        self.ids = np.array([x[2].doc_id for x in weighed], np.int64)
-        self.y = np.array([x[2].y for x in weighed], np.float64)
-        self.block = block
-        self.starts = np.arange(0, len(weighed), block)
-        if not weighed:
+        rows = sorted((r for r in rows if len(r.terms)), key=lambda r: r.doc_id)
+        self.y = np.zeros(0)
+        if not rows:
             return
-        term = np.concatenate([x[0] for x in weighed]).astype(np.int32)
-        weight = np.concatenate([x[1] for x in weighed])
-        example = np.repeat(np.arange(len(weighed), dtype=np.int32), [len(x[0]) for x in weighed])
-        common = np.flatnonzero(np.bincount(term, minlength=terms) > len(weighed) / 8)
-        #: Column of each common term, -1 for others.
-        self.column = np.full(terms, -1, np.int32)
-        self.column[common] = np.arange(len(common))
-        heavy = self.column[term] >= 0
-        self.columns = np.zeros((len(weighed), len(common)))
-        self.columns[example[heavy], self.column[term[heavy]]] = weight[heavy]
-        self.rest = np.sqrt((self.columns**2).sum(1))
-        self.longest = np.maximum.reduceat(self.rest, self.starts)
-        term, weight, example = term[~heavy], weight[~heavy], example[~heavy]
-        order = np.argsort(term, kind="stable")
-        self.examples, self.weights = example[order], weight[order]
-        self.first = np.searchsorted(term[order], np.arange(terms + 1))
+        weighed = [self.weigh(r.terms, r.counts) for r in rows]
+        term, weight = (np.concatenate([x[k] for x in weighed]) for k in (0, 1))
+        first = np.concatenate([[0], np.cumsum([len(x[0]) for x in weighed])])
+        order = _likeness_order(term, weight, first, len(df), block)
+        self.ids = np.array([rows[i].doc_id for i in order], np.int64)
+        self.y = np.array([rows[i].y for i in order], np.float64)
+        term = np.concatenate([weighed[i][0] for i in order])
+        weight = np.concatenate([weighed[i][1] for i in order])
+        example = np.repeat(np.arange(len(order)), np.diff(first)[order])
+        self.blocks = -(-len(order) // block)
+        # Terms of more than an eighth of the examples have a row with all weights, block by block.
+        common = np.flatnonzero(COMMON * np.bincount(term, minlength=len(df)) > len(order))
+        self.row = np.full(len(df), -1)
+        self.row[common] = np.arange(len(common))
+        full = self.row[term] >= 0
+        rows = np.zeros((len(common), self.blocks * block))
+        rows[self.row[term[full]], example[full]] = weight[full]
+        self.rows = np.ascontiguousarray(rows.reshape(len(common), self.blocks, block).transpose(1, 0, 2))
+        self.row_most = self.rows.max(2, initial=0.0).T
+        # Others have postings.
+        by_term = np.lexsort((example[~full], term[~full]))
+        self.example, self.weight = example[~full][by_term], weight[~full][by_term]
+        self.first = np.searchsorted(term[~full][by_term], np.arange(len(df) + 1))
 
     def __reduce__(self):
         """Executors get the packed counts and build the index from them."""
-        rows, df, n, terms, block = self.made_of
+        rows, df, n, block = self.made_of
         lists = [np.concatenate([np.zeros(0, np.int32), *[getattr(r, k) for r in rows]]) for k in ("terms", "counts")]
         sizes = np.array([len(r.terms) for r in rows], np.int64)
         packed = zlib.compress(pickle.dumps(([(r.doc_id, r.y) for r in rows], sizes, np.diff(lists[0], prepend=0), lists[1], df)), 1)
-        return _unpacked, (packed, n, terms, block)
+        return _unpacked, (packed, n, block)
 
     def weigh(self, terms, counts) -> tuple[np.ndarray, np.ndarray]:
         t = np.asarray(terms, np.int64)
         w = (1 + np.log(np.asarray(counts, np.float64))) * self.idf[t]
         return t, w / np.sqrt(w @ w)
 
-    def nearest(self, terms, counts, k: int = NEIGHBOURS, but=None) -> list[tuple[float, int]]:
-        """The ``k`` examples of highest cosine, exactly, best first; equal ones by position.
-        Examples with the id ``but`` are left out."""
-        t, w = self.weigh(terms, counts)
-        column = self.column[t]
-        rare = column < 0
-        first, n = self.first[t[rare]], self.first[t[rare] + 1] - self.first[t[rare]]
-        at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
-        sums = np.bincount(self.examples[at], self.weights[at] * np.repeat(w[rare], n), len(self.y))
-        if but is not None:
-            sums[self.ids == but] = -2.0
-        column, w = column[~rare], w[~rare]
-        rest = np.sqrt(w @ w)
-        # So much the k-th best has at least; what the common terms add is at most a product of lengths.
-        least = np.partition(sums, -k)[-k] if len(sums) > k else 0.0
-        blocks = np.maximum.reduceat(sums, self.starts) + rest * self.longest >= max(least, 0.0) - 1e-9
-        open_ = np.flatnonzero(np.repeat(blocks, self.block)[: len(sums)])
-        open_ = open_[sums[open_] + rest * self.rest[open_] >= max(least, 0.0) - 1e-9]
-        full = sums[open_] + self.columns[open_[:, None], column] @ w
-        full = np.round(full, 12)
-        best = np.lexsort((open_, -full))[:k]
-        return [(float(full[i]), int(open_[i])) for i in best if full[i] > 0]
-
-    def vote(self, terms, counts, but=None) -> tuple[float, list[tuple[int, float]]]:
+    def cosines(self, queries: list, k: int, but: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each of ``queries`` (terms, counts): its cosine with the examples, exact in the blocks that
+        were opened, and too low in others, whose examples are not among the ``k`` nearest; a cosine that
+        those have at least; and which blocks were opened. Examples with the ids ``but`` get -1."""
+        m, width = len(queries), self.blocks * self.block
+        weighed = [self.weigh(*q) for q in queries]
+        t, w = (np.concatenate([x[i] for x in weighed]) for i in (0, 1))
+        of = np.repeat(np.arange(m), [len(x[0]) for x in weighed])
+        row = self.row[t]
+        common = row >= 0
+        dense = np.zeros((m, self.rows.shape[1]))
+        dense[of[common], row[common]] = w[common]
+        t, w, of = t[~common], w[~common], of[~common]
+        ends = np.searchsorted(of, np.arange(m + 1))
+        sums = np.zeros((m, self.blocks, self.block))
+        for i, (low, high) in enumerate(zip(ends, ends[1:], strict=False)):
+            first = self.first[t[low:high]]
+            n = self.first[t[low:high] + 1] - first
+            at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+            if len(at):
+                walked = np.bincount(self.example[at], self.weight[at] * np.repeat(w[low:high], n), width)
+                sums[i] = walked.reshape(self.blocks, self.block)
+        # The rare terms' part is exact; the others add at most their maxima in the block.
+        bounds = sums.max(2) + dense @ self.row_most
+        opened = np.zeros((m, self.blocks), bool)
+
+        def open_(new: np.ndarray) -> None:
+            for b in np.flatnonzero(new.any(0)):
+                own = np.flatnonzero(new[:, b])
+                sums[own, b] += dense[own] @ self.rows[b]
+            for i, name in enumerate(but or ()):
+                sums[i].ravel()[np.flatnonzero(self.ids == name)] = -1.0
+            opened[new] = True
+
+        # First the blocks of the highest bounds, then those that can still reach the k-th best.
+        most = min(self.blocks, -(-4 * k // self.block))
+        best = np.argpartition(-bounds, most - 1, 1)[:, :most]
+        first = np.zeros_like(opened)
+        np.put_along_axis(first, best, True, 1)
+        open_(first & (bounds > 1e-12))
+        least = np.zeros(m)
+        if most * self.block > k:
+            near = np.take_along_axis(sums, best[:, :, None], 1).reshape(m, -1)
+            least = np.maximum(np.partition(near, -k, 1)[:, -k], 0.0)
+        open_((bounds >= np.maximum(least - 1e-9, 1e-12)[:, None]) & ~opened)
+        return sums.reshape(m, width), least, opened
+
+    def nearest(self, queries: list, k: int = NEIGHBOURS, but: list | None = None, opened: list | None = None) -> list:
+        """For each of ``queries`` (terms, counts) the ``k`` examples of highest cosine, exactly, best first;
+        equal ones by position. Examples with the ids ``but`` are left out. ``opened`` is told the
+        share of blocks that were read."""
+        sums, least, read = self.cosines(queries, k, but)
+        if opened is not None:
+            opened.extend(read.mean(1))
+        found = []
+        for own, low in zip(sums, least, strict=True):
+            near = np.flatnonzero((own >= low - 1e-9) & (own > 0))
+            cosine = np.round(own[near], 12)
+            best = np.lexsort((near, -cosine))[:k]
+            found.append([(float(cosine[i]), int(near[i])) for i in best if cosine[i] > 0])
+        return found
+
+    def vote(self, near: list[tuple[float, int]]) -> tuple[float, list[tuple[int, float]]]:
         """Vote and evidence (ids and cosines of the three nearest examples)."""
-        if not len(self.y) or not len(terms):
-            return self.bare, []
-        near = self.nearest(terms, counts, but=but)
         if not near:
             return self.prior, []
         # Weights fall with the distance 1 - cosine; the prior counts as a tenth of a full vote.
@@ -190,12 +249,21 @@ class Index:
         score = (weight @ y + 2 * self.prior) / (weight.sum() + 2)
         return float(min(1.0, max(0.0, score))), [(int(self.ids[i]), s) for s, i in near[:3]]
 
+    def votes(self, queries: list, but: list | None = None) -> Iterator[tuple[float, list[tuple[int, float]]]]:
+        """Votes and evidence of ``queries`` (terms, counts), some at a time."""
+        for low in range(0, len(queries), TOGETHER):
+            some = queries[low : low + TOGETHER]
+            own = [i for i, (t, _) in enumerate(some) if len(t)] if len(self.y) else []
+            near = self.nearest([some[i] for i in own], but=[but[low + i] for i in own] if but else None) if own else []
+            votes = dict(zip(own, map(self.vote, near), strict=True))
+            yield from (votes.get(i, (self.bare, [])) for i in range(len(some)))
+
 
-def _unpacked(packed: bytes, n: int, terms: int, block: int) -> Index:
+def _unpacked(packed: bytes, n: int, block: int) -> Index:
     labelled, sizes, steps, counts, df = pickle.loads(zlib.decompress(packed))
     cuts = np.cumsum(sizes)[:-1]
     lists = zip(labelled, np.split(np.cumsum(steps), cuts), np.split(counts, cuts), strict=True) if labelled else ()
-    return Index([SimpleNamespace(doc_id=i, y=y, terms=t, counts=c) for (i, y), t, c in lists], df, n, terms, block)
+    return Index([SimpleNamespace(doc_id=i, y=y, terms=t, counts=c) for (i, y), t, c in lists], df, n, block)
 
 
 def least_vote(votes: np.ndarray, y: np.ndarray) -> float:
@@ -224,51 +292,45 @@ def score_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", ex
     terms; document counts cover all documents. Label 1 is rare, so scores are set by the
     examples' own votes on each other: 0.5 is where these part best. Null and empty texts, and
     texts without a term of the examples, score what such examples do; without labelled rows
-    all score 0.5. Repeated rows stay. The texts are read once to count and once to score.
+    all score 0.5. Repeated rows stay. Texts are read once, to write the terms they share with the
+    examples; these are counted, then scored.
     """
     context = docs.sparkSession.sparkContext
-    chosen = (
-        labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
-        .groupBy("doc_id")
-        .agg(F.max(label).cast("int").alias("y"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(examples)
-    )
     base = docs.select("doc_id", "text")
-    sample = stored(base.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text"), "toxic-sample")
+    sample = stored(labelled_sample(docs, labels, F.col(label).cast("int"), examples), "toxic-sample")
+    sample = sample.select("doc_id", "y", "text")
     vocabulary = context.broadcast(_vocabulary(sample))
-    df, n = _document_counts(base, vocabulary)
-    vectors = stored(_vectors(sample, vocabulary), "toxic-vectors")
-    found = vectors.toArrow()
+    vectors = stored(_vectors(base, vocabulary), "toxic-terms")
+    df, n = _document_counts(vectors, len(vocabulary.value))
+    marked = stored(_vectors(sample, vocabulary), "toxic-vectors")
+    found = marked.toArrow()
     lists = [[x.values.to_numpy() for x in found[c]] for c in ("terms", "counts")]
     rows = [SimpleNamespace(doc_id=i, y=y, terms=t, counts=c) for i, y, t, c in zip(
         found["doc_id"].to_pylist(), found["y"].to_pylist(), *lists, strict=True)]
-    shared = context.broadcast(Index(rows, df, n, len(df)))
+    shared = context.broadcast(Index(rows, df, n))
+
+    def queries(batch):
+        t, c = (batch.column(batch.schema.get_field_index(x)) for x in ("terms", "counts"))
+        return [(t[k].values.to_numpy(), c[k].values.to_numpy()) for k in range(len(batch))]
 
     def judge(batches):
         for part in batches:
-            votes = [shared.value.vote(t.values.to_numpy(), c.values.to_numpy(), i.as_py())[0] for i, t, c in zip(
-                part.column(0), part.column(2), part.column(3), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), part.column(1)], ["vote", "y"])
+            own = [v for v, _ in shared.value.votes(queries(part), part.column(0).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.float64()), part.column(1)], ["vote", "y"])
 
-    judged = vectors.select("doc_id", "y", "terms", "counts").mapInArrow(judge, "vote double, y int").toArrow()
+    judged = marked.select("doc_id", "y", "terms", "counts").mapInArrow(judge, "vote double, y int").toArrow()
     least = least_vote(judged["vote"].to_numpy(), judged["y"].to_numpy())
     schema = T.StructType(
         [docs.schema["doc_id"], *T.StructType.fromDDL("score double, evidence array<struct<doc_id:long,cosine:double>>").fields]
     )
 
     def run(batches):
-        index = shared.value
-        at = {t: i for i, t in enumerate(vocabulary.value)}
-        known: dict[str, tuple[int, ...]] = {}
-        for part, texts in texts_in_bites(batches, "text"):
-            out = []
-            for text in texts:
-                own = sorted(_ids(text, at, known).items())
-                out.append(index.vote([t for t, _ in own], [c for _, c in own]))
-            evidence = [[{"doc_id": i, "cosine": s} for i, s in e] for _, e in out]
-            kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))
+        for part in batches:
+            out = list(shared.value.votes(queries(part)))
+            ends = np.cumsum([0, *(len(e) for _, e in out)])
+            ids, cosines = (pa.array([x[k] for _, e in out for x in e], t) for k, t in ((0, pa.int64()), (1, pa.float64())))
+            evidence = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([ids, cosines], names=["doc_id", "cosine"]))
             scores = pa.array([moved(v, least) for v, _ in out], pa.float64())
-            yield pa.RecordBatch.from_arrays([part.column(0), scores, pa.array(evidence, kind)], names=schema.names)
+            yield pa.RecordBatch.from_arrays([part.column(0), scores, evidence], names=schema.names)
 
-    return base.mapInArrow(run, schema)
+    return vectors.mapInArrow(run, schema)

@@ -152,6 +152,28 @@ def test_repeats_across_pieces_of_a_long_text(spark, monkeypatch):
     assert [got[i] for i in range(2)] == [k for _, _, k in without_repeats(texts, 35)]
 
 
+def test_only_anchors_of_several_kinds_of_stretches_are_counted_by_kind(spark, monkeypatch):
+    tables = []
+
+    def stored(df, name, write=substrings.stored):
+        out = write(df, name)
+        tables.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(substrings, "stored", stored)
+    copies = [" ".join(f"c{i}" for i in range(60))] * 5
+    # These share their first words, up to different ones: some anchors have several kinds of stretches.
+    part = [" ".join([*(f"p{i}" for i in range(n)), *(f"q{n}x{i}" for i in range(40))]) for n in range(40, 70, 3)]
+    for texts, counted in ((copies, False), (copies + part, True)):
+        tables.clear()
+        rows = substrings.remove_repeats(frame(spark, list(enumerate(texts)))).collect()
+        want = without_repeats(texts, 35)
+        assert {r.doc_id: (r.n_words, sum(s.end - s.start for s in r.spans), r.kept) for r in rows} == dict(enumerate(want))
+        names = [name for name, _ in tables]
+        assert len(names) == len(set(names)) == 6
+        assert (dict(tables)["kinds"] > 0) == counted
+
+
 # --- Jaccard join -----------------------------------------------------------------
 
 

@@ -2,13 +2,15 @@
 
 import hashlib
 import random
+import time
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.cases import LONG, TEXTS, edge, empty, frame
-from txflow.llm import chat, components, decontamination, fingerprints, jaccard, substrings
+from txflow.llm import chat, common, components, decontamination, fingerprints, jaccard, substrings
 
 
 def sha(text):
@@ -341,3 +343,46 @@ def test_benchmark_edges_and_blocks(spark):
     assert decontamination.find_benchmark(empty(spark), benchmark).collect() == []
     clean = decontamination.find_benchmark(frame(spark, docs), benchmark.limit(0)).collect()
     assert len(clean) == 14 and all(r.n_hit == 0 and r.items == [] for r in clean)
+
+
+def test_jaccard_compares_groups_of_the_same_members_once(spark, monkeypatch):
+    """Pairs that share a passage but are not linked meet in many shingles; each pair is dealt to one tree."""
+    texts = []
+    for k in range(12):
+        passage = [f"p{k}x{i}" for i in range(40)]
+        texts += [" ".join(passage + [f"{side}{k}x{i}" for i in range(20)]) for side in "ab"]
+    ids = list(range(10, 10 + len(texts)))
+    dealt = []
+
+    def seen(f, key):
+        def run(rows, *rest):
+            dealt.extend((r[key], r.doc_id) for r in rows.select(key, "doc_id").collect())
+            return f(rows, *rest)
+
+        return run
+
+    monkeypatch.setattr(jaccard, "_home_links", seen(jaccard._home_links, "key"))
+    monkeypatch.setattr(jaccard, "_unit_candidates", seen(jaccard._unit_candidates, "task"))
+    rows = jaccard.link_documents(frame(spark, list(zip(ids, texts, strict=True)))).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {i: i for i in ids}
+    groups = {}
+    for key, i in dealt:
+        groups.setdefault(key, []).append(i)
+    members = [tuple(sorted(g)) for g in groups.values()]
+    assert members and len(members) == len(set(members))
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def files():
+        top = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in top for f in Path(d).rglob("shuffle_*.data")}
+
+    key = common.SHUFFLES_GO
+    own, before = spark.conf.get(key, None), files()
+    out = common.stored(spark.range(20_000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count(), "sevens")
+    for _ in range(100):  # executors remove them on their own time
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before
+    assert out.count() == 7 and spark.conf.get(key, None) == own

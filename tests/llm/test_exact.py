@@ -176,6 +176,34 @@ def test_only_anchors_of_several_kinds_of_stretches_are_counted_by_kind(spark, m
         assert (dict(tables)["kinds"] > 0) == counted
 
 
+def test_equal_stretches_in_a_row_are_one_row(spark, monkeypatch):
+    tables = []
+
+    def stored(df, name, write=substrings.stored):
+        out = write(df, name)
+        tables.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(substrings, "stored", stored)
+    texts = ["x1 x2 " + "ha " * (300 + i) + f"end{i} " * (i % 3) for i in range(8)]
+    texts += [f"b{i} " + "to be or not " * 90 + f"e{i}" for i in range(3)]
+    # Once in the table, but each of their windows many times; and half a run alone.
+    texts += ["- " * 36, "tick tock " * 200, "un " * 34, "deux " * 35, "two rows " * 17 + "two"]
+    # One kind of stretch as witness of windows elsewhere.
+    texts += [" ".join(f"w{i}" for i in range(20)) + " ha" * 34 + " z", "ha " * 33 + "q " * 40]
+    texts += [texts[0]]
+    rows = substrings.remove_repeats(frame(spark, list(enumerate(texts)))).collect()
+    want = without_repeats(texts, 35)
+    assert {r.doc_id: (r.n_words, sum(s.end - s.start for s in r.spans), r.kept) for r in rows} == dict(enumerate(want))
+    # 3,600 windows in runs, but few rows for each text.
+    assert dict(tables)["met-stretches"] <= dict(tables)["stretches"] < 30 * len(texts)
+    tables.clear()
+    # Longer than a piece.
+    (row,) = substrings.remove_repeats(frame(spark, [(1, "ha " * 300_000)])).collect()
+    assert (row.n_words, row.kept, [(s.start, s.end) for s in row.spans]) == (300_000, "", [(0, 300_000)])
+    assert dict(tables)["met-stretches"] == 2
+
+
 # --- Jaccard join -----------------------------------------------------------------
 
 

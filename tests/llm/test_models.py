@@ -165,6 +165,37 @@ def test_few_blocks_of_the_index_are_opened():
     assert again.nearest(queries) == near
 
 
+def test_terms_of_words_that_begin_alike_are_looked_up_once():
+    class Vocabulary(dict):
+        asked = 0
+
+        def get(self, *key):
+            self.asked += 1
+            return super().get(*key)
+
+    texts = ["abcdefgh abcdefgi abcdefg abcdef abcdeg abcde abcd abc a", "Ab-c d3e \u00a0f\u2003g\u0085h \ud800 i\x1cj \u03a3\u03a3 \u0130x", None, "", "1 2 \t"]
+    texts += ["\u4f60\u597d\u4e16\u754c\u4f60\u597d\u4e16\u754c \u4f60\u597d\u4e16\u754c\u4f60\u597d \u00e9t\u00e9 stra\u00dfenbahn" * 3, "unknown words unknownly"]
+    learnt = sorted({t for text in texts[:-1] for t in toxicity._terms(text)})
+    vocabulary = Vocabulary({t: i for i, t in enumerate(learnt)})
+    places = toxicity._Places(vocabulary)
+    for _ in range(3):
+        for text in texts:
+            terms, counts = places.counted(text)
+            want = sorted((vocabulary[t], n) for t, n in toxicity._terms(text).items() if t in vocabulary)
+            assert list(zip(terms.tolist(), counts.tolist(), strict=True)) == want
+    beginnings = {w[: toxicity.LONG + 1] for text in texts for w in toxicity._words(text)}
+    assert set(places) == beginnings and vocabulary.asked <= 2 * len(beginnings)
+
+
+def test_remembered_beginnings_are_bounded(monkeypatch):
+    monkeypatch.setattr(toxicity, "REMEMBERED", 50)
+    places = toxicity._Places({"w": 0, "x": 1})
+    for i in range(100):
+        word = "".join(chr(97 + (i // 26**k) % 26) for k in range(3))
+        assert [x.tolist() for x in places.counted(f"w {word} x w")] == [[0, 1], [2, 1]]
+        assert len(places) <= 53
+
+
 def test_toxicity_equals_dense_cosines(spark):
     rng = np.random.default_rng(9)
     words = [f"{a}{b}{a}{c}{k}" for k, (a, b, c) in enumerate(zip("bcdfghjklm" * 6, "aeiou" * 12, "npqrst" * 10, strict=True))]

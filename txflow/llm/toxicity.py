@@ -27,17 +27,23 @@ from txflow.llm.common import labelled_sample, stored, texts_in_bites
 EXAMPLES = 6000
 NEIGHBOURS, BLOCK = 15, 32
 #: Documents that are compared at once; a term is common in more than this part of the examples.
-TOGETHER, COMMON = 32, 8
+TOGETHER, COMMON = 128, 8
 #: A word's terms are its beginnings of these lengths, or the word itself where it is no longer. Whole
 #: words and more lengths found no more of the held-out rows.
 SHORT, LONG = 4, 6
+#: Beginnings of words whose terms a task remembers.
+REMEMBERED = 1 << 17
 #: ASCII but letters parts words.
 _PARTS = bytes(i if i >= 0x80 or chr(i).isalpha() else 0x20 for i in range(256))
 
 
+def _words(text: str | None) -> list[str]:
+    return (text or "").lower().encode("utf-8", "replace").translate(_PARTS).decode().split()
+
+
 def _terms(text: str | None) -> Counter:
     """The terms of a text and how often each occurs."""
-    words = (text or "").lower().encode("utf-8", "replace").translate(_PARTS).decode().split()
+    words = _words(text)
     found = Counter([w if len(w) <= SHORT else w[:SHORT] + "-" for w in words])
     found.update([w if len(w) <= LONG else w[:LONG] + "-" for w in words if len(w) > SHORT])
     return found
@@ -55,6 +61,29 @@ def _vocabulary(sample: DataFrame) -> list[str]:
     return sorted(terms.toArrow().column(0).to_pylist())
 
 
+class _Places(dict):
+    """Places of terms in a vocabulary by how a word begins, one letter more than the long term: words that
+    begin alike have the same terms, which are made and looked up once. A value is the short term's
+    place plus one, times 2**32, plus the same of the long one; 0 stands for none."""
+
+    def __init__(self, at: dict[str, int]):
+        self.at = at
+
+    def __missing__(self, word: str) -> int:
+        short = self.at.get(word if len(word) <= SHORT else word[:SHORT] + "-", -1) + 1
+        long = self.at.get(word if len(word) <= LONG else word[:LONG] + "-", -1) + 1 if len(word) > SHORT else 0
+        found = self[word] = short << 32 | long
+        return found
+
+    def counted(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The places of a text's terms in the vocabulary, in order, and how often each occurs."""
+        if len(self) > REMEMBERED:
+            self.clear()
+        both = np.array([self[w[: LONG + 1]] for w in _words(text)], np.int64)
+        places = np.concatenate([both >> 32, both & 0xFFFFFFFF])
+        return np.unique(places[places > 0] - 1, return_counts=True)
+
+
 def _vectors(docs: DataFrame, vocabulary) -> DataFrame:
     """``docs`` without text, with terms and counts of the (broadcast) vocabulary's terms."""
     rest = [c for c in docs.columns if c != "text"]
@@ -63,16 +92,12 @@ def _vectors(docs: DataFrame, vocabulary) -> DataFrame:
     )
 
     def run(batches):
-        at = {t: i for i, t in enumerate(vocabulary.value)}
+        places = _Places({t: i for i, t in enumerate(vocabulary.value)})
         for part, texts in texts_in_bites(batches, "text"):
-            terms, counts, ends = [], [], [0]
-            for text in texts:
-                found = sorted([(at[t], n) for t, n in _terms(text).items() if t in at])
-                terms += [t for t, _ in found]
-                counts += [n for _, n in found]
-                ends.append(len(terms))
+            found = [places.counted(text) for text in texts]
+            ends = pa.array(np.cumsum([0, *(len(t) for t, _ in found)]), pa.int32())
             kept = [part.column(i) for i, c in enumerate(part.schema.names) if c != "text"]
-            kept += [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x, pa.int32())) for x in (terms, counts)]
+            kept += [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x), pa.int32())) for x in zip(*found, strict=True)]
             yield pa.RecordBatch.from_arrays(kept, names=schema.names)
 
     return docs.select(*rest, "text").mapInArrow(run, schema)

@@ -400,6 +400,87 @@ def test_jaccard_compares_groups_of_the_same_members_once(spark, monkeypatch):
     assert members and len(members) == len(set(members))
 
 
+def test_jaccard_passes_on_only_documents_that_may_be_linked(spark, monkeypatch):
+    """Exact copies are one document; documents of unlike sizes that share a passage have no pair to compare."""
+    texts = [" ".join(f"c{k}x{i}" for i in range(60)) for k in range(4) for _ in range(5)]
+    for k in range(6):
+        passage = [f"p{k}x{i}" for i in range(30)]
+        texts += [" ".join(passage + [f"{k}s{n}x{i}" for i in range(n)]) for n in (10, 40, 90)]
+    near = [f"n{i}" for i in range(100)]
+    texts += [" ".join(near), " ".join([*near[:-1], "other"])]
+    ids = list(range(10, 10 + len(texts)))
+    tables = {}
+
+    def seen(df, name):
+        tables[name] = common.stored(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(jaccard, "stored", seen)
+    monkeypatch.setattr(jaccard, "discard", lambda *tables: None)
+    rows = jaccard.link_documents(frame(spark, list(zip(ids, texts, strict=True)))).collect()
+    assert {r.doc_id: r.component_id for r in rows} == classes(ids, sets_of(texts)) | {i: ids[k // 5 * 5] for k, i in enumerate(ids[:20])}
+    assert {r.doc_id for r in tables["signatures"].collect()} == {r.doc_id for r in tables["met"].collect()} == set(ids[-2:])
+
+
+def test_jaccard_ships_each_text_once_in_a_step(spark, monkeypatch):
+    rng, texts = random.Random(8), []
+    for k in range(4):  # copies with a changed word each meet in groups of unlike members
+        for _ in range(8):
+            words = [f"w{k}x{i}" for i in range(80)]
+            words[rng.randrange(80)] = f"e{rng.random()}"
+            texts.append(" ".join(words))
+    ids, dealt = list(range(10, 10 + len(texts))), []
+
+    def seen(rows, *rest):
+        dealt.append(sorted(r.doc_id for r in rows.select("doc_id").collect()))
+        return home_links(rows, *rest)
+
+    home_links = jaccard._home_links
+    monkeypatch.setattr(jaccard, "_home_links", seen)
+    rows = jaccard.link_documents(frame(spark, list(zip(ids, texts, strict=True)))).collect()
+    assert {r.doc_id: r.component_id for r in rows} == classes(ids, sets_of(texts))
+    assert dealt[0] and all(len(step) == len(set(step)) for step in dealt)
+
+
+def test_members_that_may_be_linked_equal_brute_force():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for turn in range(200):
+        m = int(rng.integers(1, 180))
+        token = np.sort(rng.integers(-20, rng.choice([-19, -16, 20]), m))
+        doc, n = rng.permutation(m), rng.integers(1, rng.choice([5, 60, 1000]), m)
+        left = n - np.minimum(n - 1, (n * rng.random(m) * 0.2).astype(int))
+        percent = int(rng.choice([50, 80, 99]))
+        need = np.array([[jaccard.needed(a, b, percent) for b in n.tolist()] for a in n.tolist()]) if turn < 40 else -(-percent * (n[:, None] + n) // (100 + percent))
+        pair = (need <= np.minimum(left[:, None], left)) & (token[:, None] == token) & ~np.eye(m, dtype=bool)
+        assert (jaccard._may_be_linked(token, doc, n << 32 | left, percent) == pair.any(1)).all()
+
+
+def test_groups_that_batches_cut_are_whole_or_in_pieces(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(jaccard, "ROWS", 16)
+    rng = random.Random(6)
+    members = {t: sorted(rng.sample(range(500), m)) for t, m in enumerate([1, 3, 16, 2, 40, 17, 1, 1, 9, 60, 2, 100])}
+    rows = [(t, d) for t, ds in members.items() for d in ds for _ in range(rng.choice([1, 1, 1, 2]))]
+    shape = 100 << 32 | 100
+    for size in (1, 3, 7, 20, 1000):
+        parts = [rows[i : i + size] for i in range(0, len(rows), size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in p]), pa.array([r[1] for r in p]), pa.array([shape] * len(p))], ["token", "doc_id", "shape"]) for p in parts]
+        got, whole = {}, []
+        for batch in jaccard._possible_groups(batches, 80):
+            for r in batch.to_pylist():
+                got.setdefault(r["token"], []).extend(r["docs"])
+                whole += [r["token"]] * (r["m"] > 0)
+                assert r["m"] in (0, len(r["docs"]))
+        assert got == {t: ds for t, ds in members.items() if len(ds) > 1}
+        assert len(whole) == len(set(whole)) and not {4, 9, 11} & set(whole) and {1, 3, 8, 10} <= set(whole)
+    one = pa.RecordBatch.from_arrays([pa.array([0, 0, 2, 2, 3]), pa.array([5, 5, 6, 6, 6]), pa.array([7, 8, 1, 2, 3]), pa.array([[1], [2], [3, 4], [3, 4], [3, 4, 9]])], schema=jaccard._GROUP)
+    both = [tuple(r.values()) for b in jaccard._first_of_alike([one.slice(0, 3), one.slice(3)]) for r in b.to_pylist()]
+    assert both == [(7, 1), (8, 2), (1, 3), (1, 4), (3, 3), (3, 4), (3, 9)]
+
+
 def test_stored_tables_leave_no_shuffle_files(spark):
     def files():
         top = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
